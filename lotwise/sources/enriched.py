@@ -48,14 +48,12 @@ def write_enriched_csv(enriched: DataFrame, path: str) -> None:
 
 
 def write_enriched(enriched: DataFrame, path: str, report_date: str) -> None:
-    """Write or replace one report date."""
-    (
-        enriched.withColumn("report_date", F.lit(report_date).cast("date"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("report_date")
-        .parquet(path)
-    )
+    """Write or replace one report date.
+
+    The partition folder is written as such, so that a date without rows
+    replaces the old rows as well and keeps its schema.
+    """
+    enriched.write.mode("overwrite").parquet(f"{path}/report_date={report_date}")
 
 
 def read_enriched(spark: SparkSession, path: str, report_date: str | None = None) -> DataFrame:

@@ -5,25 +5,22 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 
 def write_reports(reports: dict[str, DataFrame], root: str, report_date: str, parallel: int = 4) -> None:
     """Write each report to ``<root>/<name>/report_date=<date>``.
 
     ``parallel`` reports run at a time, so that the short tail of one job does
-    not leave the cluster idle.
+    not leave the cluster idle. A report without rows is written too.
     """
 
-    def write(item: tuple[str, DataFrame]) -> None:
-        name, df = item
-        (
-            df.withColumn("report_date", F.lit(report_date).cast("date"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("report_date")
-            .parquet(f"{root.rstrip('/')}/{name}")
-        )
+    def write(name: str, df: DataFrame) -> None:
+        df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}/report_date={report_date}")
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        list(pool.map(inheritable_thread_target(write), reports.items()))
+        jobs = [
+            pool.submit(inheritable_thread_target(df.sparkSession)(write), name, df) for name, df in reports.items()
+        ]
+    for job in jobs:
+        job.result()

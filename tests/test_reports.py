@@ -1,0 +1,224 @@
+"""Null, tie and order rules of the reports on hand-made rows."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import epoch, rows, trades
+from lotwise.operators.cells import as_cells, roll_up
+from lotwise.plans import behaviour, countries, hours, quality, sessions, symbols, traders
+from lotwise.plans.catalog import REPORTS, build_reports
+from lotwise.plans.segments import demo, real, real_unbreached, segment_counts
+
+
+def only(df):
+    found = df.collect()
+    assert len(found) == 1
+    return found[0]
+
+
+def test_null_keys_are_dropped_and_null_sums_are_zero(spark):
+    t = trades(spark, [
+        {"symbol": None}, {"symbol": "EURUSD", "profit": None, "swap": None}, {"symbol": "EURUSD", "profit": None},
+        {"country_name": None, "symbol": "GBPUSD", "profit": 3},
+    ])
+    c = as_cells(t)
+    assert [(r["symbol"], r["trade_count"], r["total_profit"]) for r in rows(symbols.symbol_summary(c))] == [
+        ("EURUSD", 2, 0.0), ("GBPUSD", 1, 3.0)
+    ]
+    assert [r["country_name"] for r in rows(countries.most_profitable_countries(c))] == ["Norland"]
+    assert [r["symbol"] for r in rows(symbols.swap_summary(c))] == ["EURUSD", "GBPUSD"]
+
+
+def test_first_known_value_against_first_row(spark):
+    t = trades(spark, [
+        {"id": 1, "email": None, "country_name": None, "equity": None, "starting_balance": None, "created_at": None},
+        {"id": 2, "equity": 5, "starting_balance": 3},
+        {"id": 3, "email": "b@example.com", "country_name": "Sudland", "equity": None, "starting_balance": 3},
+    ])
+    row = only(traders.login_trade_lot(t))
+    assert (row.email, row.country_name, row.trade_count) == ("a@example.com", "Norland", 3)
+    # the last equity is null, and so is the first balance: no overall result
+    assert only(traders.overall_pnl_by_login(t)).overall_pnl is None
+
+
+def test_best_session_ties_go_to_the_first_name(spark):
+    t = trades(spark, [
+        {"open_time_str": "2024-08-22 12:00:00", "profit": 5, "final_lot": 1},
+        {"open_time_str": "2024-08-22 03:00:00", "profit": 5, "final_lot": 1},
+        {"open_time_str": "2024-08-22 16:40:00", "profit": 5, "final_lot": 1},
+    ])
+    row = only(symbols.pairwise_summary(as_cells(t)))
+    assert (row.max_profit_session, row.max_lot_session) == ("London Session", "London Session")
+    assert (row.total_lots, row.final_lot, row.max_profit_session_profit) == (3.0, 1.0, 5.0)
+
+
+def test_high_pnl_trader_mode_best_trade_and_ties(spark):
+    t = trades(spark, [
+        {"id": 1, "country_name": "Sudland", "profit": 9, "symbol": "USDJPY"},
+        {"id": 2, "country_name": "Norland", "profit": 9, "symbol": "EURUSD"},
+        {"id": 3, "login": 2, "profit": None, "country_name": None},
+    ])
+    by_login = {r.login: r for r in traders.high_pnl_traders(t).collect()}
+    best = by_login[50000001]
+    assert (best.country_name, best.highest_profit_pair, best.profit) == ("Norland", "USDJPY", 18.0)
+    none = by_login[2]
+    assert (none.highest_profit_pair, none.highest_profit_trade, none.profit, none.country_name) == (
+        None, None, 0.0, None
+    )
+    assert [r.login for r in traders.high_pnl_traders(t, n=1).collect()] == [50000001]
+
+
+def test_two_starting_balances_fan_out(spark):
+    t = trades(spark, [
+        {"id": 1, "starting_balance": 900, "equity": 1000}, {"id": 2, "starting_balance": 800, "equity": 1100},
+        {"id": 3, "login": 2, "profit": -1}, {"id": 4, "login": 3, "equity": 1},
+    ])
+    got = rows(traders.positive_pnl_traders(t))
+    assert [(r["login"], r["overall_pnl"], r["starting_balance"]) for r in got] == [
+        (50000001, 200.0, 800.0), (50000001, 200.0, 900.0)
+    ]
+    assert {r.login for r in traders.positive_pnl_trades(t, t).collect()} == {50000001}
+
+
+def test_fast_share_can_exceed_one_hundred(spark):
+    opened = epoch("2024-08-22 12:00:00")
+    t = trades(spark, [
+        {"email": "a@example.com", "close_time": opened + 5}, {"email": "b@example.com", "close_time": opened + 5},
+        {"email": "b@example.com", "close_time": opened + 5}, {"email": None, "close_time": opened + 180},
+        {"email": "a@example.com", "close_time": None, "login": 2},
+    ])
+    got = {(r.login, r.email): r for r in behaviour.arbitrage_traders(t).collect()}
+    assert set(got) == {(50000001, "a@example.com"), (50000001, "b@example.com"), (2, "a@example.com")}
+    a = got[50000001, "a@example.com"]
+    assert (a.trade_count, a.trades_within_3_min, a.trades_within_3_min_pct) == (1, 4, 400.0)
+    assert got[2, "a@example.com"].max_holding_time == -opened / 60
+    assert {r.login for r in behaviour.arbitrage_traders(t, closed_only=True).collect()} == {50000001}
+
+
+def test_hft_keeps_the_first_row_and_closed_trades_only(spark):
+    opened = epoch("2024-08-22 12:00:00")
+    t = trades(spark, [
+        {"id": 1, "close_time": opened}, {"id": 2, "close_time": opened + 9, "equity": None, "type_account": None},
+        {"id": 3, "close_time": opened + 3}, {"id": 4, "close_time": opened + 10}, {"id": 5, "close_time": None},
+        {"id": 6, "login": 2, "close_time": opened + 10},
+    ])
+    row = only(behaviour.hft_summary(t))
+    assert (row.trades_le_9s, row.trades_le_3s, row.total_trades) == (2, 1, 3)
+    assert (row.equity, row.type_account) == (None, None)
+    assert row.ratio_le_3s == pytest.approx(1 / 3)
+
+
+def test_hours(spark):
+    t = trades(spark, [
+        {"id": 1, "open_time": epoch("2024-08-22 05:10:00"), "final_lot": 2, "profit": 1, "country_name": None},
+        {"id": 2, "open_time": epoch("2024-08-23 05:50:00"), "final_lot": 2, "profit": 4, "country_name": "B"},
+        {"id": 3, "open_time": epoch("2024-08-23 05:50:00"), "final_lot": 1, "profit": 4, "country_name": "C"},
+        {"id": 4, "open_time": epoch("2024-08-23 06:50:00"), "profit": None, "final_lot": None, "close_time": None},
+        {"id": 5, "open_time": None},
+    ])
+    by_hour = {r.open_hour: r for r in hours.open_hour_summary(t).collect()}
+    assert set(by_hour) == {5, 6}
+    five = by_hour[5]
+    # ties go to the first trade, whose country is unknown for the lots
+    assert (five.highest_lot_country, five.highest_profit_country, five.trade_count) == (None, "B", 3)
+    assert (by_hour[6].highest_lot_country_lot, by_hour[6].total_profit) == (None, 0.0)
+    # an unclosed trade counts in hour 0
+    assert 0 in {r.close_hour for r in hours.close_hour_summary(t).collect()}
+
+
+def test_settlement_counts(spark):
+    night = {"open_time": epoch("2024-08-22 00:10:00"), "close_time": epoch("2024-08-24 00:30:00")}
+    t = trades(spark, [dict(night) for _ in range(5)] + [
+        dict(night, login=2), dict(night, login=3, symbol="US30"),
+        dict(night, login=50000001, close_time=None),
+    ])
+    assert [(r.login, r.trade_count) for r in behaviour.settlement_forex(t).collect()] == [(50000001, 5)]
+    assert behaviour.settlement_indices(t).count() == 0
+    late = {"open_time": epoch("2024-08-22 22:10:00"), "close_time": epoch("2024-08-22 23:30:00")}
+    t = trades(spark, [dict(late, symbol=s) for s in ("AUDJPY", "EURUSD", "CADSGD", "EURCHF")])
+    # CADSGD is watched but in no asset class
+    assert only(behaviour.ll_hour(t, min_count=1)).trade_count == 2
+
+
+def test_breached_accounts_and_demo_ranking(spark):
+    t = trades(spark, [
+        {"breachedby": "x", "profit": 50}, {"profit": 2, "country_name": "Sudland"},
+        {"type_account": None, "profit": 9, "country_name": "Westland", "login": 7},
+        {"type_account": "Demo", "profit": 1, "country_name": "Norland", "login": 8},
+    ])
+    c = as_cells(t)
+    assert only(symbols.top_symbols(real_unbreached(c), "total_pnl")).total_pnl == 2.0
+    assert only(symbols.pairwise_summary(real(c))).total_profit == 52.0
+    # the demo logins are taken from the countries that lead the real ranking
+    demo_logins = countries.most_profitable_logins(demo(c), ranked_on=real(c), with_email=False)
+    assert [(r.country_name, r.login) for r in demo_logins.collect()] == [("Norland", 8)]
+    assert rows(segment_counts(c)) == [
+        {"segment": "Demo", "trade_count": 2, "unique_logins": 2},
+        {"segment": "Real", "trade_count": 2, "unique_logins": 1},
+    ]
+
+
+def test_sessions_without_unknown(spark):
+    t = trades(spark, [
+        {"open_time_str": "2024-08-22 02:44:30"}, {"open_time_str": "2024-08-22 02:44:00", "profit": None},
+        {"open_time_str": "2024-08-22 00:15:00", "profit": 4, "final_lot": 3},
+    ])
+    row = only(sessions.session_summary(as_cells(t)))
+    assert (row.session, row.session_time_range) == ("Market-Open Session", "00:15 - 02:44")
+    assert (row.number_of_trades, row.average_pnl, row.average_lot) == (2, 4.0, 2.0)
+
+
+def test_most_active_session(spark):
+    t = trades(spark, [
+        {"open_time_str": "2024-08-22 12:00:00"}, {"open_time_str": "2024-08-22 03:00:00"},
+        {"open_time_str": "2024-08-22 03:00:00", "login": 2},
+    ])
+    assert [(r["login"], r["session"]) for r in rows(traders.most_active_session_per_login(as_cells(t)))] == [
+        (2, "Prime Asia Session"), (50000001, "London Session")
+    ]
+
+
+def test_quality_checks(spark):
+    t = trades(spark, [
+        {"id": 1, "open_time": None}, {"id": 2, "open_time": epoch("2024-08-22 00:14:59"), "profit": 77}, {"id": 3},
+    ])
+    assert only(quality.missing_open_time(t)).open_time is None
+    assert only(quality.outlier_open_time(t)).profit == 77.0
+
+
+def _sample(spark):
+    opened = epoch("2024-08-22 12:00:00")
+    texts = ["12:00:00", "03:00:00", "16:40:00", "00:00:01"]
+    return trades(spark, [
+        {
+            "login": n % 7, "symbol": ["EURUSD", "XAUUSD", None, "US30"][n % 4], "profit": None if n % 11 == 0 else n - 40,
+            "type_account": ["Real", "Demo", None, "P2 100K"][n % 4 if n % 3 else 0], "country_name": f"C{n % 5}",
+            "open_time_str": f"2024-08-22 {texts[n % 4]}", "close_time": opened + n, "breachedby": "x" if n % 6 == 0 else None,
+            "email": None if n % 8 == 0 else f"{n % 7}@example.com", "final_lot": n % 9,
+        }
+        for n in range(120)
+    ])
+
+
+def test_rolled_up_cells_give_the_same_reports(spark):
+    t = _sample(spark)
+    direct, rolled = build_reports(t), build_reports(t, roll_up(as_cells(t)))
+    for name in REPORTS:
+        assert rows(direct[name]) == rows(rolled[name]), name
+
+
+def test_totals_agree_across_reports(spark):
+    t = _sample(spark).where("symbol IS NOT NULL")
+    c = as_cells(t)
+    total = t.agg(F.count("id"), F.sum("final_lot").cast("double"), F.sum("profit").cast("double")).first()
+    for df, profit in ((symbols.symbol_summary(c), "total_profit"), (hours.open_hour_summary(t), "total_profit")):
+        assert df.agg(F.sum("trade_count"), F.sum(profit)).first() == (total[0], total[2])
+    assert sum(r.trade_count for r in segment_counts(c).collect()) == total[0]
+
+
+@pytest.mark.parametrize("name", sorted(REPORTS))
+def test_empty_input(spark, name):
+    t = trades(spark, [{}])
+    full, empty = build_reports(t)[name], build_reports(t.where("id < 0"))[name]
+    assert empty.schema == full.schema
+    assert empty.collect() == []
