@@ -52,32 +52,31 @@ def lenient_epoch(column: Column, data_type: T.DataType) -> Column:
     return F.when(column.between(-LAST_EPOCH_SECOND, LAST_EPOCH_SECOND), column)
 
 
-def micros_of_day(clock: Column) -> Column:
-    midnight = clock.cast("date").cast("timestamp_ntz")
-    return F.timestamp_diff("MICROSECOND", midnight, clock)
+def time_of_day(clock: Column) -> Column:
+    """Time since midnight, as an interval."""
+    # not timestamp_diff, which would go through the session time zone
+    return clock - clock.cast("date").cast("timestamp_ntz")
 
 
-def _micros(hhmm: str) -> int:
-    hours, minutes = hhmm.split(":")
-    return (int(hours) * 60 + int(minutes)) * 60 * 1_000_000
+def _interval(hhmm: str) -> str:
+    return f"INTERVAL '{hhmm}' HOUR TO MINUTE"
 
 
-def session_of(clock: Column, sessions=K.SESSIONS) -> Column:
-    """Trading session of a broker-clock time.
+def session_of(time: str, sessions=K.SESSIONS) -> Column:
+    """Trading session by the column ``time``, a broker-clock time of day.
 
     Bounds are exact: 02:44:00 is inside a session that ends at 02:44, one
     second later is not.
     """
-    at = micros_of_day(clock)
-    column = F
-    for name, first, last in sessions:
-        column = column.when(at.between(_micros(first), _micros(last)), F.lit(name))
-    return column.otherwise(F.lit(K.UNKNOWN_SESSION))
+    cases = " ".join(
+        f"WHEN {time} BETWEEN {_interval(first)} AND {_interval(last)} THEN '{name}'" for name, first, last in sessions
+    )
+    return F.expr(f"CASE {cases} ELSE '{K.UNKNOWN_SESSION}' END")
 
 
 def outside_hours(clock: Column, hours=K.MARKET_HOURS) -> Column:
-    at = micros_of_day(clock)
-    return (at < _micros(hours[0])) | (at > _micros(hours[1]))
+    time = time_of_day(clock)
+    return (time < F.expr(_interval(hours[0]))) | (time > F.expr(_interval(hours[1])))
 
 
 def within_hours(first: int, last: int, open_time="open_time", close_time="close_time") -> Column:
@@ -99,9 +98,16 @@ def normalize_times(trades: DataFrame) -> DataFrame:
     types = {f.name: f.dataType for f in trades.schema.fields}
     opened = strict_epoch(F.col("open_time"), types["open_time"])
     closed = F.coalesce(lenient_epoch(F.col("close_time"), types["close_time"]), F.lit(0).cast("bigint"))
-    return trades.withColumns({
-        "open_time": from_epoch(opened),
-        "close_time": from_epoch(closed),
-        "holding_time": closed - opened,
-        "session": session_of(F.col("open_time_str").cast("timestamp_ntz")),
+    # The intermediate values are columns of their own: as parts of the final
+    # expressions they would be computed once per use, the broker clock 24 times.
+    epochs = trades.withColumns({
+        "_opened": opened,
+        "_closed": closed,
+        "_time": time_of_day(F.col("open_time_str").cast("timestamp_ntz")),
     })
+    return epochs.withColumns({
+        "open_time": from_epoch(F.col("_opened")),
+        "close_time": from_epoch(F.col("_closed")),
+        "holding_time": F.col("_closed") - F.col("_opened"),
+        "session": session_of("_time"),
+    }).drop("_opened", "_closed", "_time")

@@ -10,20 +10,18 @@ from lotwise.schemas import LOTS, MONEY
 
 def final_lot(login="login", lots="lots", volume="volume", prefixes=K.LOT_BASED_LOGIN_PREFIXES) -> Column:
     """Lots as booked for lot-based logins, hundredths of the volume otherwise."""
-    text = F.col(login).cast("string")
-    lot_based = F.lit(False)
-    for prefix in prefixes:
-        lot_based = lot_based | text.startswith(prefix)
-    from_volume = F.col(volume).cast("decimal(18,0)") * F.lit("0.01").cast("decimal(3,2)")
-    return F.when(lot_based, F.col(lots).cast(LOTS)).otherwise(from_volume.cast(LOTS))
+    lot_based = " OR ".join(f"cast({login} AS string) LIKE '{prefix}%'" for prefix in prefixes)
+    return F.expr(f"cast(CASE WHEN {lot_based} THEN {lots} ELSE {volume} * 0.01 END AS {LOTS.simpleString()})")
 
 
 def asset_class(symbol="symbol", classes=K.ASSET_CLASSES) -> Column:
     """Asset class of a symbol; the first class that lists it wins."""
-    column = F
-    for name, symbols in classes.items():
-        column = column.when(F.col(symbol).isin(symbols), F.lit(name))
-    return column.otherwise(F.lit(K.UNKNOWN_ASSET_CLASS))
+    cases = " ".join(f"WHEN {symbol} IN {sql_list(symbols)} THEN '{name}'" for name, symbols in classes.items())
+    return F.expr(f"CASE {cases} ELSE '{K.UNKNOWN_ASSET_CLASS}' END")
+
+
+def sql_list(values: list[str]) -> str:
+    return "(" + ", ".join(f"'{v}'" for v in values) + ")"
 
 
 def is_real(type_account="type_account") -> Column:

@@ -6,9 +6,10 @@ Exact arithmetic only, so that any SQL engine derives the same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from lotwise import schemas as S
+from lotwise.functions.clock import EPOCH
 from lotwise.sources.tables import BrokerTables, conform
 
 SYMBOLS = [
@@ -24,107 +25,100 @@ STARTING_BALANCES = [50000, 100000, 200000]
 BROKER_CLOCK_OFFSET = 10800
 
 
-def _pick(index, values):
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+CUSTOMER = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+NATION = "n_nationkey int, n_name string"
+
+
+def _pick(index: str, values: list) -> str:
     """The value at a 0-based index."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+    items = ", ".join("NULL" if v is None else repr(v) for v in values)
+    return f"element_at(array({items}), cast({index} + 1 AS int))"
 
 
-def _login(customer_key):
-    return customer_key + _pick(customer_key % 4, LOGIN_BASES)
+def _login(customer_key: str) -> str:
+    return f"{customer_key} + {_pick(f'{customer_key} % 4', LOGIN_BASES)}"
 
 
-def _clock_text(epoch):
-    clock = F.timestamp_add("SECOND", epoch, F.expr("timestamp_ntz'1970-01-01 00:00:00'"))
-    return F.date_format(clock, "yyyy-MM-dd HH:mm:ss")
+def _clock_text(epoch: str) -> str:
+    return f"cast(timestampadd(SECOND, {epoch}, {EPOCH}) AS string)"
 
 
 def sample_trades(events: DataFrame) -> DataFrame:
-    epoch = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
-    base = events.select(
-        F.col("event_id").alias("id"),
-        _login(F.col("user_id")).alias("login"),
+    base = events.selectExpr(
+        "event_id AS id",
+        f"{_login('user_id')} AS login",
         "event_type",
-        F.col("value").cast("decimal(18,2)").alias("v"),
-        F.get_json_object("props", "$.k").cast("bigint").alias("k"),
-        F.timestamp_diff("SECOND", epoch, F.col("ts").cast("timestamp_ntz")).alias("open_time"),
+        "cast(value AS decimal(18,2)) AS v",
+        "cast(get_json_object(props, '$.k') AS bigint) AS k",
+        # over an interval, as timestampdiff would go through the session time zone
+        f"cast(cast(ts - {EPOCH} AS interval second) AS bigint) AS opened",
+    )
+    closed = base.selectExpr(
+        "*",
+        """CASE id % 10
+             WHEN 0 THEN opened + 2 WHEN 1 THEN opened + 8 WHEN 2 THEN opened + 120
+             WHEN 3 THEN CASE k % 3 WHEN 0 THEN 0 WHEN 2 THEN 10800 END
+             WHEN 4 THEN opened + 172800 WHEN 5 THEN opened + 600
+             ELSE opened + k * 300 END AS closed""",
     )
-    k, ident, opened = F.col("k"), F.col("id"), F.col("open_time")
-    kind = ident % 10
-    closed = (
-        F.when(kind == 0, opened + 2)
-        .when(kind == 1, opened + 8)
-        .when(kind == 2, opened + 120)
-        .when(kind == 3, F.when(k % 3 == 0, F.lit(0)).when(k % 3 == 2, F.lit(10800)))
-        .when(kind == 4, opened + 172800)
-        .when(kind == 5, opened + 600)
-        .otherwise(opened + k * 300)
+    trades = closed.selectExpr(
+        "id", "login", "opened AS open_time", "closed AS close_time",
+        f"{_pick('k % 16', SYMBOLS)} AS symbol",
+        "CASE WHEN id % 2 = 0 THEN 'Buy' ELSE 'SELL' END AS type_str",
+        "cast(v * 100 AS bigint) AS volume",
+        "v * 0.5 AS lots",
+        """CASE WHEN k <> 97 THEN v * (CASE WHEN (k + id) % 2 = 0 THEN 1 ELSE -1 END)
+             + (CASE WHEN event_type = 'purchase' THEN 5 ELSE 0 END) END AS profit""",
+        "k % 7 * -0.1 AS swap",
+        f"{_clock_text(f'opened + {BROKER_CLOCK_OFFSET}')} AS open_time_str",
+        f"{_clock_text(f'coalesce(closed, 0) + {BROKER_CLOCK_OFFSET}')} AS close_time_str",
+        f"{_clock_text(f'opened + {BROKER_CLOCK_OFFSET}')} AS created_at",
+        "0 AS commission", "2 AS digits", "id AS ticket",
+        "NULL AS reason", "NULL AS sl", "NULL AS tp", "NULL AS open_price", "NULL AS close_price",
     )
-    sign = F.when((k + ident) % 2 == 0, F.lit(1)).otherwise(F.lit(-1)).cast("decimal(1,0)")
-    bonus = F.when(F.col("event_type") == "purchase", F.lit(5)).otherwise(F.lit(0)).cast("decimal(1,0)")
-    half, hundred, tenth = (F.lit(x).cast("decimal(3,1)") for x in ("0.5", "10.0", "0.1"))
-    trades = base.withColumns({
-        "close_time": closed,
-        "symbol": _pick(k % 16, SYMBOLS),
-        "type_str": F.when(ident % 2 == 0, F.lit("Buy")).otherwise(F.lit("SELL")),
-        "volume": (F.col("v") * hundred * hundred).cast("bigint"),
-        "lots": (F.col("v") * half).cast(S.LOTS),
-        "profit": F.when(k != 97, (F.col("v") * sign + bonus).cast(S.MONEY)),
-        "swap": (-(k % 7).cast("decimal(2,0)") * tenth).cast(S.MONEY),
-        "open_time_str": _clock_text(opened + BROKER_CLOCK_OFFSET),
-        "close_time_str": _clock_text(F.coalesce(closed, F.lit(0)) + BROKER_CLOCK_OFFSET),
-        "created_at": _clock_text(opened + BROKER_CLOCK_OFFSET),
-        "commission": F.lit(0),
-        "digits": F.lit(2),
-        "ticket": ident,
-        **{c: F.lit(None) for c in ("reason", "sl", "tp", "open_price", "close_price")},
-    })
     return conform(trades, S.TRADES)
 
 
 def sample_accounts(customer: DataFrame) -> DataFrame:
-    key = F.col("c_custkey")
-    balance = _pick(key % 3, STARTING_BALANCES).cast(S.MONEY)
+    balance = f"cast({_pick('c_custkey % 3', STARTING_BALANCES)} AS decimal(18,2))"
     return conform(
-        customer.select(
-            (key + 1).alias("id"),
-            _login(key).alias("login"),
-            _pick(key % 7, ACCOUNT_TYPES).alias("type"),
-            (balance + F.col("c_acctbal").cast(S.MONEY) - F.lit(3000).cast(S.MONEY)).alias("equity"),
-            F.when(F.col("c_mktsegment") == "MACHINERY", "daily_loss")
-            .when(F.col("c_mktsegment") == "FURNITURE", "max_loss")
-            .alias("breachedby"),
-            key.alias("customer_id"),
-            balance.alias("starting_balance"),
+        customer.selectExpr(
+            "c_custkey + 1 AS id",
+            f"{_login('c_custkey')} AS login",
+            f"{_pick('c_custkey % 7', ACCOUNT_TYPES)} AS type",
+            f"{balance} + cast(c_acctbal AS decimal(18,2)) - 3000 AS equity",
+            "CASE c_mktsegment WHEN 'MACHINERY' THEN 'daily_loss' WHEN 'FURNITURE' THEN 'max_loss' END AS breachedby",
+            "c_custkey AS customer_id",
+            f"{balance} AS starting_balance",
         ),
         S.ACCOUNTS,
     )
 
 
 def sample_customers(customer: DataFrame) -> DataFrame:
-    key = F.col("c_custkey")
-    name = F.lower(F.replace(F.col("c_name"), F.lit("#"), F.lit(".")))
     return conform(
-        customer.select(
-            key.alias("id"),
-            F.when(key % 11 != 10, F.concat(name, F.lit("@example.com"))).alias("email"),
-            F.col("c_nationkey").alias("country_id"),
+        customer.selectExpr(
+            "c_custkey AS id",
+            "CASE WHEN c_custkey % 11 <> 10 THEN lower(replace(c_name, '#', '.')) || '@example.com' END AS email",
+            "c_nationkey AS country_id",
         ),
         S.CUSTOMERS,
     )
 
 
 def sample_countries(nation: DataFrame) -> DataFrame:
-    return conform(nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name")), S.COUNTRIES)
+    return conform(nation.selectExpr("n_nationkey AS id", "n_name AS name"), S.COUNTRIES)
 
 
 def sample_tables(spark: SparkSession, directory: str) -> BrokerTables:
-    def read(name):
-        return spark.read.parquet(f"{directory}/{name}.parquet")
+    def read(name, schema):
+        return spark.read.schema(schema).parquet(f"{directory}/{name}.parquet")
 
-    customer = read("customer")
+    customer = read("customer", CUSTOMER)
     return BrokerTables(
-        trades=sample_trades(read("events")),
+        trades=sample_trades(read("events", EVENTS)),
         accounts=sample_accounts(customer),
         customers=sample_customers(customer),
-        countries=sample_countries(read("nation")),
+        countries=sample_countries(read("nation", NATION)),
     )

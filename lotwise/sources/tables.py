@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from lotwise import schemas as S
 
@@ -30,11 +30,7 @@ class BrokerTables:
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project to the declared columns and types."""
-    actual = {f.name: f.dataType for f in df.schema.fields}
-    return df.select([
-        F.col(f.name) if actual[f.name] == f.dataType else F.col(f.name).cast(f.dataType).alias(f.name)
-        for f in schema.fields
-    ])
+    return df.selectExpr(*[f"cast({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields])
 
 
 def read_parquet_tables(spark: SparkSession, root: str) -> BrokerTables:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from helpers import epoch, raw_trades, rows, trades
 from lotwise.functions import clock
 from lotwise.functions.trades import asset_class, final_lot, is_demo, is_p2, is_real
+from lotwise.sources.sample import sample_tables
 
 
 def test_final_lot_follows_the_login_family(spark):
@@ -70,14 +71,24 @@ def test_open_time_must_be_a_number(spark):
 
 
 def test_results_do_not_depend_on_the_session_time_zone(spark):
-    df = trades(spark, [{"open_time": epoch("2024-08-22 23:30:00"), "open_time_str": "2024-08-23 02:30:00"}])
-    query = df.select(F.hour("open_time").alias("h"), "session")
-    before = query.first()
+    # the clocks of New York skip 02:00 to 03:00 on this day
+    texts = ["2024-03-10 02:30:00", "2024-03-10 12:00:00", "2024-03-10 00:10:00"]
+    df = trades(spark, [{"open_time": epoch(t), "open_time_str": t} for t in texts])
+
+    def result():
+        sample = sample_tables(spark, "/root/testdata/sf0.001").trades
+        return (
+            df.select(F.hour("open_time"), "session", F.col("open_time").cast("string"), "holding_time",
+                      clock.outside_hours(F.col("open_time"))).orderBy("open_time").collect(),
+            sample.agg(F.sum("open_time"), F.max("close_time_str")).collect(),
+        )
+
     zone = spark.conf.get("spark.sql.session.timeZone")
+    before = result()
+    assert [r.session for r in before[0]] == ["Unknown Session", "Market-Open Session", "London Session"]
     try:
         spark.conf.set("spark.sql.session.timeZone", "America/New_York")
-        assert df.select(F.hour("open_time").alias("h"), "session").first() == before
-        assert before.h == 23
+        assert result() == before
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
 
