@@ -19,16 +19,24 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from lotwise import constants as K
 from lotwise.functions.trades import signed_lot
 from lotwise.operators.lineage import checkpointed
+from lotwise.schemas import LOTS
+
+# Lots are summed as whole thousandths, the scale of the lots column: running
+# sums of bigint are several times cheaper than those of wide decimals.
+LOT_UNITS = 10**LOTS.scale
 
 OWNER = ["login", "asset_class"]
 ORDER = ["at", "phase", "id", "closing"]
-SLOT = ["at", "phase", "block"]
+SLOT = ["slice", "slot_at", "slot_phase", "slot_block"]
 HOLDER = ["equity", "type_account", "breachedby", "starting_balance"]
 
-# A login with more trades than this in one class is cut into time slots; below
+# A login with more trades than this in one class is cut into time slices; below
 # it, a login is one window partition (about 100 bytes per event).
 HOT_TRADES = 2_000_000
-# Trade ids per slot within one second, as a power of two.
+# Trades a slice should hold. A slice with many times more is cut further.
+SLICE_TRADES = 500_000
+DENSE_FACTOR = 8
+# Trade ids per slot within one second of a dense slice, as a power of two.
 BLOCK_BITS = 20
 
 
@@ -84,30 +92,60 @@ def _whole(legs: DataFrame) -> DataFrame:
 
 def _sum_before(df: DataFrame, owner: list[str], value: str, name: str) -> DataFrame:
     """Sum of ``value`` over all earlier slots of the owner, in two steps: whole
-    days first, then the slots of the same day."""
+    runs of 1024 slices first, then the slots of the same run."""
     before = (W.unboundedPreceding, -1)
-    df = df.withColumn("day", F.col("at").cast("date"))
-    days = df.groupBy(*owner, "day").agg(F.sum(value).alias("v"))
-    by_day = W.partitionBy(*owner).orderBy("day").rowsBetween(*before)
-    in_day = W.partitionBy(*owner, "day").orderBy(*SLOT).rowsBetween(*before)
+    df = df.withColumn("run", F.shiftright("slice", 10))
+    runs = df.groupBy(*owner, "run").agg(F.sum(value).alias("v"))
+    by_run = W.partitionBy(*owner).orderBy("run").rowsBetween(*before)
+    in_run = W.partitionBy(*owner, "run").orderBy(*SLOT).rowsBetween(*before)
     zero = F.lit(0)
-    earlier_days = days.select(*owner, "day", F.coalesce(F.sum("v").over(by_day), zero).alias("carry"))
+    earlier_runs = runs.select(*owner, "run", F.coalesce(F.sum("v").over(by_run), zero).alias("carry"))
     return (
-        df.join(earlier_days, [*owner, "day"])
-        .withColumn(name, F.col("carry") + F.coalesce(F.sum(value).over(in_day), zero))
-        .drop("carry", "day")
+        df.join(earlier_runs, [*owner, "run"])
+        .withColumn(name, F.col("carry") + F.coalesce(F.sum(value).over(in_run), zero))
+        .drop("carry", "run")
     )
 
 
-def _sliced(legs: DataFrame, block_bits: int) -> DataFrame:
+def _slotted(legs: DataFrame, hot: DataFrame, slice_trades: int, block_bits: int) -> DataFrame:
+    """Events of the hot logins with their slot.
+
+    A slice is a stretch of time of one login, as long as on average holds
+    ``slice_trades`` trades. It is one slot, unless it is so dense that it is
+    cut by second, phase and trade id: such a slot holds a bounded number of
+    events however many trades the login has.
+    """
+    span = F.col("last") - F.col("first")
+    width = F.greatest(F.lit(1), F.floor(_seconds(span) * slice_trades / F.col("count")))
+    # (trades / hot_trades) rows, see max_exposure
+    scale = F.broadcast(hot.select(*OWNER, "first", width.alias("width")))
+    slice_ = F.floor(_seconds(F.col("at") - F.col("first")) / F.col("width"))
+    events = _events(legs).join(scale, OWNER).withColumn("slice", slice_).drop("first", "width")
+    dense = (
+        events.groupBy(*OWNER, "slice").count()
+        .where(F.col("count") > DENSE_FACTOR * slice_trades)
+        .select(*OWNER, "slice", F.lit(True).alias("dense"))
+    )
+    # at most (events / the limit) rows
+    events = events.join(F.broadcast(dense), [*OWNER, "slice"], "left")
+    return events.withColumns({
+        "slot_at": F.when(F.col("dense"), F.col("at")),
+        "slot_phase": F.when(F.col("dense"), F.col("phase")),
+        "slot_block": F.when(F.col("dense"), F.shiftright("id", block_bits)),
+    }).drop("dense")
+
+
+def _seconds(interval):
+    return interval.cast("interval second").cast("bigint")
+
+
+def _sliced(legs: DataFrame, hot: DataFrame, slice_trades: int, block_bits: int) -> DataFrame:
     """Peak of logins too large for one task.
 
-    A slot is one second and phase of one login, further cut by trade id, so it
-    holds a bounded number of events however many trades the login has. What
-    earlier slots left behind enters a slot as opening rows: the net of each
-    symbol that trades in the slot, and the summed |net| of all others.
+    What earlier slots left behind enters a slot as opening rows: the net of
+    each symbol that trades in the slot, and the summed |net| of all others.
     """
-    events = _events(legs).withColumn("block", F.shiftright("id", block_bits))
+    events = _slotted(legs, hot, slice_trades, block_bits)
     symbol_slots = events.groupBy(*OWNER, "symbol", *SLOT).agg(F.sum("change").alias("change"))
     symbol_slots = _sum_before(symbol_slots, [*OWNER, "symbol"], "change", "start")
     slots = symbol_slots.groupBy(*OWNER, *SLOT).agg(
@@ -117,9 +155,11 @@ def _sliced(legs: DataFrame, block_bits: int) -> DataFrame:
     slots = _sum_before(slots, OWNER, "move", "level")
 
     def opening_rows(df, symbol, lots):
+        # without a time, so they sort in front of the events of the slot
         return df.select(
-            *OWNER, symbol.alias("symbol"), F.lit(-(2**63)).alias("id"), "at", "phase",
-            F.lit(-1).alias("closing"), lots.alias("change"), "block",
+            *OWNER, *SLOT, symbol.alias("symbol"), F.lit(None).cast("timestamp_ntz").alias("at"),
+            F.lit(0).alias("phase"), F.lit(0).cast("bigint").alias("id"), F.lit(-1).alias("closing"),
+            lots.alias("change"),
         )
 
     carried = opening_rows(symbol_slots, F.col("symbol"), F.col("start"))
@@ -132,23 +172,37 @@ def _sliced(legs: DataFrame, block_bits: int) -> DataFrame:
     return peaks.join(holders, OWNER)
 
 
-def max_exposure(trades: DataFrame, limits=K.EXPOSURE_LIMITS, hot_trades=HOT_TRADES, block_bits=BLOCK_BITS) -> DataFrame:
+def max_exposure(
+    trades: DataFrame,
+    limits=K.EXPOSURE_LIMITS,
+    hot_trades: int = HOT_TRADES,
+    slice_trades: int = SLICE_TRADES,
+    block_bits: int = BLOCK_BITS,
+) -> DataFrame:
     """(login, asset_class) with its largest live exposure and the account data
     of its first trade, all classes in one pass.
 
     Counts the trades per login first, which runs a job.
     """
     legs = watched(trades, limits).select(
-        *OWNER, "symbol", "id", "open_time", "close_time", signed_lot().alias("lot"), *HOLDER
+        *OWNER, "symbol", "id", "open_time", "close_time", *HOLDER,
+        (signed_lot() * LOT_UNITS).cast("bigint").alias("lot"),
     )
     # At most (trades / hot_trades) rows, so small enough to broadcast at any
     # size of the table.
-    hot = checkpointed(legs.groupBy(*OWNER).count().where(F.col("count") > hot_trades).select(*OWNER))
+    sizes = legs.groupBy(*OWNER).agg(
+        F.count(F.lit(1)).alias("count"), F.min("open_time").alias("first"), F.max("open_time").alias("last")
+    )
+    hot = checkpointed(sizes.where(F.col("count") > hot_trades))
     if hot.isEmpty():
-        return _whole(legs)
-    whole = _whole(legs.join(F.broadcast(hot), OWNER, "left_anti"))
-    sliced = _sliced(legs.join(F.broadcast(hot), OWNER, "left_semi"), block_bits)
-    return whole.unionByName(sliced)
+        peaks = _whole(legs)
+    else:
+        owners = F.broadcast(hot.select(*OWNER))
+        whole = _whole(legs.join(owners, OWNER, "left_anti"))
+        sliced = _sliced(legs.join(owners, OWNER, "left_semi"), hot, slice_trades, block_bits)
+        peaks = whole.unionByName(sliced)
+    lots = F.col("max_total_lots").cast("decimal(20,0)") / LOT_UNITS
+    return peaks.withColumn("max_total_lots", lots.cast(f"decimal(23,{LOTS.scale})"))
 
 
 def exposure_breaches(trades: DataFrame, limits=K.EXPOSURE_LIMITS, **options) -> DataFrame:

@@ -6,17 +6,19 @@ from pyspark.sql import DataFrame, functions as F
 
 from lotwise.functions.trades import first_known, total
 from lotwise.operators.ranking import top_per_group
+from lotwise.operators.totals import totals_by
 
 
 def most_profitable_countries(cells: DataFrame, n: int = 10) -> DataFrame:
     return (
-        cells.where(F.col("country_name").isNotNull())
-        .groupBy("country_name")
-        .agg(
+        totals_by(
+            cells.where(F.col("country_name").isNotNull()),
+            "country_name",
             total("trade_count").alias("trade_count"),
             total("lots").cast("double").alias("total_lots"),
             total("profit").cast("double").alias("total_profit"),
-            F.countDistinct("login").alias("trader_count"),
+            distinct="login",
+            name="trader_count",
         )
         .orderBy(F.col("total_profit").desc(), "country_name")
         .limit(n)

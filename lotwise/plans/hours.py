@@ -5,19 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from lotwise.functions.trades import total
+from lotwise.operators.totals import totals_by
 
 
 def hour_summary(trades: DataFrame, clock: str, name: str) -> DataFrame:
     """Totals per hour of ``clock``, with the countries of the largest and of the
     most profitable trade (ties to the first trade)."""
     hourly = trades.withColumn(name, F.hour(clock).cast("bigint")).where(F.col(name).isNotNull())
-    totals = hourly.groupBy(name).agg(
+    totals = totals_by(
+        hourly,
+        name,
         F.count("id").alias("trade_count"),
         total("final_lot").alias("total_lots"),
         total("profit").alias("total_profit"),
-        F.countDistinct("login").alias("unique_logins"),
         F.max("final_lot").alias("top_lot"),
         F.max("profit").alias("top_profit"),
+        distinct="login",
+        name="unique_logins",
     )
     # Carrying the texts of the top trades through the aggregate would turn it
     # from a hash into a sort aggregate. So the at most 24 rows go back to the

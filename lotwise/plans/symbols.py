@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lotwise.functions.trades import first_known, total
 from lotwise.operators.ranking import top_per_group
+from lotwise.operators.totals import totals_by
 
 ACCOUNT = ["type_account", "country_name"]
 
@@ -84,15 +85,16 @@ def symbol_summary(cells: DataFrame) -> DataFrame:
     """Totals per symbol over all accounts, with lots per trade and per trader."""
     lots = F.col("final_lot")
     return (
-        cells.where(F.col("symbol").isNotNull())
-        .groupBy("symbol")
-        .agg(
+        totals_by(
+            cells.where(F.col("symbol").isNotNull()),
+            "symbol",
             total("trade_count").alias("trade_count"),
             total("profit").cast("double").alias("total_profit"),
-            F.countDistinct("login").alias("trader_count"),
             total("positive_profit").cast("double").alias("positive_trades_sum"),
             total("negative_profit").cast("double").alias("negative_trades_sum"),
             total("lots").cast("double").alias("final_lot"),
+            distinct="login",
+            name="trader_count",
         )
         .withColumn("final_lot_per_trade", F.try_divide(lots, F.col("trade_count")))
         .withColumn("final_lot_per_trader", F.try_divide(lots, F.col("trader_count")))

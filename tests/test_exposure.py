@@ -53,7 +53,12 @@ def random_legs(login, seed, start_id):
 
 @pytest.fixture(scope="module")
 def random_case(spark):
-    legs = [leg for login in range(1, 121) for leg in random_legs(login, login, login * 1000)]
+    # a long tail and a burst within a second or two in one login
+    burst = random_legs(500, 7, 900_000) + [
+        dict(leg, login=500, open_time=1724284000 + n % 2, close_time=1724284000 + n % 5)
+        for n, leg in enumerate(leg for seed in range(6) for leg in random_legs(500, seed, 910_000 + seed * 100))
+    ]
+    legs = [leg for login in range(1, 121) for leg in random_legs(login, login, login * 1000)] + burst
     by_login = defaultdict(list)
     for leg in legs:
         by_login[leg["login"]].append(leg)
@@ -62,9 +67,10 @@ def random_case(spark):
 
 @pytest.mark.parametrize("options", [
     {},  # every login in one window
-    {"hot_trades": 0, "block_bits": 2},  # every login sliced, down to a few ids
-    {"hot_trades": 0},  # every login sliced by second
-    {"hot_trades": 20, "block_bits": 1},  # both kinds side by side
+    {"hot_trades": 0},  # every login sliced, but in one slice
+    {"hot_trades": 0, "slice_trades": 3, "block_bits": 2},  # a few trades per slice
+    {"hot_trades": 0, "slice_trades": 1, "block_bits": 0},  # dense slices cut down to single ids
+    {"hot_trades": 20, "slice_trades": 5, "block_bits": 1},  # whole and sliced logins side by side
 ])
 def test_matches_the_definition(random_case, options):
     df, expected = random_case
