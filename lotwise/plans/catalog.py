@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame
 
@@ -48,11 +49,17 @@ REPORTS: dict[str, Report] = {
 }
 
 
-def build_reports(trades: DataFrame, cells: DataFrame | None = None) -> dict[str, DataFrame]:
-    """All reports over normalised trades.
+def report_builders(trades: DataFrame, cells: DataFrame | None = None) -> dict[str, Callable[[], DataFrame]]:
+    """Builders of all reports over normalised trades.
 
     ``cells`` may be a rolled-up table of the same trades; by default each
-    report aggregates the trades itself.
+    report aggregates the trades itself. Building the exposure report runs
+    jobs, the others only describe a plan.
     """
     cells = as_cells(trades) if cells is None else cells
-    return {name: report(trades, cells) for name, report in REPORTS.items()}
+    return {name: partial(report, trades, cells) for name, report in REPORTS.items()}
+
+
+def build_reports(trades: DataFrame, cells: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All reports, see ``report_builders``."""
+    return {name: build() for name, build in report_builders(trades, cells).items()}

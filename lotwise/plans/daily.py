@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lotwise.functions.clock import day_bounds, normalize_times
 from lotwise.operators.cells import as_cells, roll_up
 from lotwise.operators.extract import enrich
-from lotwise.plans.catalog import build_reports
+from lotwise.plans.catalog import report_builders
 from lotwise.sources.enriched import read_enriched, write_enriched
 from lotwise.sources.reports import write_reports
 from lotwise.sources.tables import BrokerTables
@@ -28,8 +28,9 @@ def report_day(trades: DataFrame, root: str, report_date: str, parallel: int = 4
     """Write the report set over normalised trades to ``<root>/reports``."""
     cells_path = f"{root}/cells"
     write_enriched(roll_up(as_cells(trades)), cells_path, report_date)
-    cells = read_enriched(trades.sparkSession, cells_path, report_date)
-    write_reports(build_reports(trades, cells), f"{root}/reports", report_date, parallel)
+    spark = trades.sparkSession
+    cells = read_enriched(spark, cells_path, report_date)
+    write_reports(spark, report_builders(trades, cells), f"{root}/reports", report_date, parallel)
 
 
 def run_day(

@@ -2,25 +2,32 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def write_reports(reports: dict[str, DataFrame], root: str, report_date: str, parallel: int = 4) -> None:
+def write_reports(
+    spark: SparkSession,
+    reports: dict[str, DataFrame | Callable[[], DataFrame]],
+    root: str,
+    report_date: str,
+    parallel: int = 4,
+) -> None:
     """Write each report to ``<root>/<name>/report_date=<date>``.
 
-    ``parallel`` reports run at a time, so that the short tail of one job does
-    not leave the cluster idle. A report without rows is written too.
+    ``parallel`` reports are built and run at a time, so that the short tail of
+    one job does not leave the cluster idle. A report without rows is written
+    too.
     """
 
-    def write(name: str, df: DataFrame) -> None:
+    def write(name: str, report: DataFrame | Callable[[], DataFrame]) -> None:
+        df = report() if callable(report) else report
         df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}/report_date={report_date}")
 
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        jobs = [
-            pool.submit(inheritable_thread_target(df.sparkSession)(write), name, df) for name, df in reports.items()
-        ]
+        jobs = [pool.submit(inheritable_thread_target(spark)(write), *item) for item in reports.items()]
     for job in jobs:
         job.result()
