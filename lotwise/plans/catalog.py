@@ -8,7 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame
 
 from lotwise.operators.cells import as_cells
-from lotwise.plans import behaviour, countries, exposures, hours, sessions, symbols, traders
+from lotwise.plans import behaviour, countries, exposures, hours, quality, sessions, symbols, traders
 from lotwise.plans.segments import demo, p2, real, real_unbreached
 
 Report = Callable[[DataFrame, DataFrame], DataFrame]
@@ -48,6 +48,12 @@ REPORTS: dict[str, Report] = {
     "session_summary": lambda t, c: sessions.session_summary(real_unbreached(c)),
 }
 
+# Data-quality checks over trades; they use the real accounts in good standing.
+CHECKS: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "missing_open_time": lambda t: quality.missing_open_time(real_unbreached(t)),
+    "outlier_open_time": lambda t: quality.outlier_open_time(real_unbreached(t)),
+}
+
 
 def report_builders(trades: DataFrame, cells: DataFrame | None = None) -> dict[str, Callable[[], DataFrame]]:
     """Builders of all reports over normalised trades.

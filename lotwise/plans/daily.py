@@ -7,12 +7,14 @@ resumes with the stage that failed.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from lotwise.functions.clock import day_bounds, normalize_times
 from lotwise.operators.cells import as_cells, roll_up
 from lotwise.operators.extract import enrich
-from lotwise.plans.catalog import report_builders
+from lotwise.plans.catalog import CHECKS, report_builders
 from lotwise.sources.enriched import read_enriched, write_enriched
 from lotwise.sources.reports import write_reports
 from lotwise.sources.tables import BrokerTables
@@ -25,12 +27,15 @@ def extract_day(tables: BrokerTables, report_date: str, path: str, utc_offset_ho
 
 
 def report_day(trades: DataFrame, root: str, report_date: str, parallel: int = 4) -> None:
-    """Write the report set over normalised trades to ``<root>/reports``."""
+    """Write the report set over normalised trades to ``<root>/reports`` and the
+    data-quality checks to ``<root>/checks``."""
     cells_path = f"{root}/cells"
     write_enriched(roll_up(as_cells(trades)), cells_path, report_date)
     spark = trades.sparkSession
     cells = read_enriched(spark, cells_path, report_date)
     write_reports(spark, report_builders(trades, cells), f"{root}/reports", report_date, parallel)
+    checks = {name: partial(check, trades) for name, check in CHECKS.items()}
+    write_reports(spark, checks, f"{root}/checks", report_date, parallel)
 
 
 def run_day(

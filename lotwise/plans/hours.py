@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from lotwise.functions.clock import is_closed
 from lotwise.functions.trades import total
 from lotwise.operators.totals import totals_by
 
@@ -54,6 +55,9 @@ def open_hour_summary(trades: DataFrame) -> DataFrame:
     return hour_summary(trades, "open_time", "open_hour")
 
 
-def close_hour_summary(trades: DataFrame) -> DataFrame:
-    """Trades still open count in the hour of their placeholder close."""
+def close_hour_summary(trades: DataFrame, closed_only: bool = False) -> DataFrame:
+    """Trades still open count in the hour of their placeholder close, unless
+    ``closed_only``."""
+    if closed_only:
+        trades = trades.where(is_closed())
     return hour_summary(trades, "close_time", "close_hour")

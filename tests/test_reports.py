@@ -124,6 +124,7 @@ def test_hours(spark):
     assert (by_hour[6].highest_lot_country_lot, by_hour[6].total_profit) == (None, 0.0)
     # an unclosed trade counts in hour 0
     assert 0 in {r.close_hour for r in hours.close_hour_summary(t).collect()}
+    assert 0 not in {r.close_hour for r in hours.close_hour_summary(t, closed_only=True).collect()}
 
 
 def test_settlement_counts(spark):

@@ -7,7 +7,7 @@ from helpers import epoch, raw_trades, rows
 from lotwise.functions.clock import normalize_times
 from lotwise.operators.extract import enrich, extract_accounts, extract_trades
 from lotwise.operators.joins import broadcast_if_small
-from lotwise.plans.catalog import REPORTS, build_reports
+from lotwise.plans.catalog import CHECKS, REPORTS, build_reports
 from lotwise.plans.daily import run_day
 from lotwise.schemas import ENRICHED
 from lotwise.sources.enriched import (
@@ -85,6 +85,7 @@ def test_the_daily_job_writes_every_report(spark, broker_root, tmp_path):
     run_day(spark, tables, "2024-01-15", root)
     run_day(spark, tables, "2024-01-16", root)
     assert sorted(os.listdir(f"{root}/reports")) == sorted(REPORTS)
+    assert sorted(os.listdir(f"{root}/checks")) == sorted(CHECKS)
     t = read_enriched(spark, f"{root}/enriched", "2024-01-15")
     opened_or_closed = t.where(
         "date(open_time) = date'2024-01-15' OR date(close_time) = date'2024-01-15'"
