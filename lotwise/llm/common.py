@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -56,3 +59,29 @@ def quoted(name: str) -> str:
 
 def ascii_lower(col: Column) -> Column:
     return F.translate(col, ASCII_UPPER, ASCII_LOWER)
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the Python workers of the session, once."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="package-"), "lotwise-package.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(top):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, os.path.dirname(top)))
+    context.addPyFile(archive)  # Spark's file server takes it to the executors
+    _shipped.add(context.applicationId)
+
+
+def map_arrow(df: DataFrame, task: Callable, schema) -> DataFrame:
+    """``mapInArrow`` whose functions can import this package on every executor."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(task, schema)
