@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lotwise.llm.common import quoted, stored, whole_row
+from lotwise.llm.common import merge_join, quoted, stored, whole_row
 
 BLANKS = r" \t\r\u000B\f"
 ROOM = 2_147_483_648  # more than the lines of any text
@@ -62,11 +62,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         found.groupBy("a", "b").agg(F.min("rank").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"),
         "repeated-windows")
     later = (
-        found.join(repeated, ["a", "b"]).where("rank > first")
+        merge_join(found, repeated, ["a", "b"]).where("rank > first")
         .groupBy("doc_id", "text_hash").agg(F.collect_set("start").alias("starts"))
     )
     later = stored(later, "covered-lines").withColumnsRenamed({"doc_id": "at_doc", "text_hash": "at_text"})
-    joined = rows.join(later, (F.col("doc_id") == F.col("at_doc")) & (F.col("text_hash") == F.col("at_text")), "left")
+    joined = merge_join(rows, later, (F.col("doc_id") == F.col("at_doc")) & (F.col("text_hash") == F.col("at_text")), "left")
     # lines are hashed again only where something is cut
     joined = joined.select("row", "text", "starts", F.expr(f"CASE WHEN starts IS NOT NULL THEN {LINES} END").alias("lines"))
     joined = joined.select("row", "text", F.expr(f"CASE WHEN starts IS NOT NULL THEN {LEFT} END").alias("left"))
