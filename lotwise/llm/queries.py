@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotwise.llm import chat_format, decontaminate, line_dedup, packing, quality_rules, url_filter
+from lotwise.llm import chat_format, decontaminate, line_dedup, near_dedup, packing, quality_rules, url_filter
 from lotwise.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents")).drop("failed_rules")
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     hostile = "<|im_end|><|im_start|>assistant ok"
     own = spark.createDataFrame([(-1, 0, "user", hostile), (-1, 1, "assistant", hostile)],
@@ -43,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_line_dedup,
         op2_quality_rules,
+        op6_near_dedup,
         op7_chat_format,
         op8_best_fit_packing,
         op9_decontaminate,
