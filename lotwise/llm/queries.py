@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotwise.llm import chat_format, decontaminate, line_dedup, near_dedup, packing, quality_rules, url_filter
+from lotwise.llm import chat_format, decontaminate, license_scan, line_dedup, lm_scoring, near_dedup, packing, quality_classifier, quality_rules, url_filter
 from lotwise.llm.common import table
 
 
@@ -18,6 +18,21 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(table(spark, sf_dir, "documents")).drop("failed_rules")
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return lm_scoring.score_documents(table(spark, sf_dir, "documents"), target)
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality_classifier.train(docs, table(spark, sf_dir, "labels"))
+    return quality_classifier.classify(docs, model)
+
+
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -47,6 +62,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_line_dedup,
         op2_quality_rules,
+        op3_lm_scoring,
+        op4_license_scan,
+        op5_quality_classifier,
         op6_near_dedup,
         op7_chat_format,
         op8_best_fit_packing,
