@@ -2,21 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lotwise.llm import line_dedup
-from lotwise.llm.common import stored, table
+from lotwise.llm import decontaminate, line_dedup, near_dedup, packing, quality_classifier
+from lotwise.llm.common import merge_join, stored, table
+
+
+def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    model = quality_classifier.train(docs, table(spark, sf_dir, "labels"))
+    return quality_classifier.accepted(docs, model)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut repeated lines; a document of which nothing visible is left goes."""
+    """Repeated lines are cut; a document of which nothing visible is left goes."""
     cut = line_dedup.dedup_lines(docs)
-    return cut.where(r"NOT (n_removed > 0 AND text rlike '^[\\x20\\x09-\\x0D]*$')").select(*docs.columns)
+    emptied = (F.col("n_removed") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    kept = cut.where(~emptied)
+    # the number of characters follows the text
+    return kept.select(*[F.length("text").cast("long").alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest doc_id stays, once."""
+    found = near_dedup.near_duplicates(docs).where("kept AND doc_id IS NOT NULL")
+    found = stored(found.select(F.col("doc_id").alias("of")).distinct(), "kept")
+    kept = merge_join(docs, found, F.col("doc_id") == F.col("of")).select(*docs.columns)
+    return kept.dropDuplicates(["doc_id"]).unionByName(docs.where("doc_id IS NULL"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are contaminated by the benchmark go."""
+    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return found.where("NOT contaminated").select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents with their places in sequences."""
+    return packing.pack(docs)
 
 
 STAGES = [
+    ("quality_classifier", drop_low_quality),
     ("line_dedup", drop_repeated_lines),
+    ("near_dedup", drop_near_duplicates),
+    ("decontaminate", drop_contaminated),
+    ("best_fit_packing", pack),
 ]
+# the classifier is trained and the packing evolved, which SQL cannot express
 ORACLE_SQL = None
 
 

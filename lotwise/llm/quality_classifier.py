@@ -18,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lotwise.llm.common import quoted
+from lotwise.llm.common import quoted, whole_row
 
 SAMPLE = 20_000  # labelled documents used for training, by the smallest hashes of their ids
 PAIRS = 100_000
@@ -147,3 +147,12 @@ def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     scored = features(rows).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), model.score(F.col("x")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= CUT).cast("int"))
+
+
+def accepted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that score at least ``CUT``, with their columns."""
+    rows = docs.select(whole_row(docs).alias("row"), F.col(quoted(text_col)).alias("text"))
+    # a filter would be pushed below the projections and repeat them for every feature;
+    # rows of an empty array disappear just as well
+    passing = F.filter(F.array(model.score(F.col("x"))), lambda score: score >= CUT)
+    return features(rows).select("row", F.explode(passing)).select("row.*")
