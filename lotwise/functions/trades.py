@@ -62,6 +62,16 @@ def total(column: str) -> Column:
     return F.coalesce(F.sum(column), F.lit(0))
 
 
+def first_at(amount: str, order: str) -> Column:
+    """A number that is largest for the largest ``amount``, and there for the smallest ``order``.
+
+    Unlike a struct, a decimal is aggregated by hash. ``amount`` has up to 18
+    digits, ``order`` is a bigint.
+    """
+    scale = 10**MONEY.scale
+    return F.expr(f"cast({amount} * {scale} AS decimal(18, 0)) * 10000000000000000000 - {order}")
+
+
 def first_known(column: str, order: str) -> Column:
     """First non-null value in ``order``."""
     return F.min_by(column, F.when(F.col(column).isNotNull(), F.col(order)))

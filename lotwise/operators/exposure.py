@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from lotwise import constants as K
 from lotwise.functions.trades import signed_lot
-from lotwise.operators.lineage import checkpointed
 from lotwise.schemas import LOTS
 
 # Lots are summed as whole thousandths, the scale of the lots column: running
@@ -30,8 +29,8 @@ ORDER = ["at", "phase", "id", "closing"]
 SLOT = ["slice", "slot_at", "slot_phase", "slot_block"]
 HOLDER = ["equity", "type_account", "breachedby", "starting_balance"]
 
-# A login with more trades than this in one class is cut into time slices; below
-# it, a login is one window partition (about 100 bytes per event).
+# A login with more trades than this in one class is cut into time slices; another
+# one is a single slot, and so a single window partition (about 100 bytes per event).
 HOT_TRADES = 2_000_000
 # Trades a slice should hold. A slice with many times more is cut further.
 SLICE_TRADES = 500_000
@@ -68,25 +67,16 @@ def _events(legs: DataFrame, *extra: str) -> DataFrame:
     return legs.select(*OWNER, "symbol", "id", F.inline(F.array(opening, closing)))
 
 
-def _walk(events: DataFrame, *slot: str) -> DataFrame:
-    """Exposure after each event, within an owner or one of its slots."""
+def _walk(events: DataFrame) -> DataFrame:
+    """Exposure after each event, within a slot."""
     upto = (W.unboundedPreceding, W.currentRow)
-    per_symbol = W.partitionBy(*OWNER, *slot, "symbol").orderBy(*ORDER).rowsBetween(*upto)
-    per_owner = W.partitionBy(*OWNER, *slot).orderBy(*ORDER).rowsBetween(*upto)
+    per_symbol = W.partitionBy(*OWNER, *SLOT, "symbol").orderBy(*ORDER).rowsBetween(*upto)
+    per_slot = W.partitionBy(*OWNER, *SLOT).orderBy(*ORDER).rowsBetween(*upto)
     net = F.col("net")
     return (
         events.withColumn("net", F.sum("change").over(per_symbol))
         .withColumn("move", F.abs(net) - F.abs(net - F.col("change")))
-        .withColumn("exposure", F.sum("move").over(per_owner))
-    )
-
-
-def _whole(legs: DataFrame) -> DataFrame:
-    """Peak of logins that fit one window partition."""
-    # repartition before the trades are doubled into events
-    walked = _walk(_events(legs.repartition(*OWNER), *HOLDER))
-    return walked.where("closing = 0").groupBy(*OWNER).agg(
-        F.max("exposure").alias("max_total_lots"), *[F.min_by(c, "id").alias(c) for c in HOLDER]
+        .withColumn("exposure", F.sum("move").over(per_slot))
     )
 
 
@@ -107,27 +97,18 @@ def _sum_before(df: DataFrame, owner: list[str], value: str, name: str) -> DataF
     )
 
 
-def _slotted(legs: DataFrame, hot: DataFrame, slice_trades: int, block_bits: int) -> DataFrame:
-    """Events of the hot logins with their slot.
+def _seconds(interval):
+    return interval.cast("interval second").cast("bigint")
+
+
+def _slotted(legs: DataFrame, hot: DataFrame, dense: DataFrame, block_bits: int, *extra: str) -> DataFrame:
+    """Events with their slot.
 
-    A slice is a stretch of time of one login, as long as on average holds
-    ``slice_trades`` trades. It is one slot, unless it is so dense that it is
-    cut by second, phase and trade id: such a slot holds a bounded number of
-    events however many trades the login has.
+    A login that is not hot is one slot. A slice of a hot one is a slot, unless it
+    is so dense that it is cut by second, phase and trade id: such a slot holds a
+    bounded number of events however many trades the login has.
     """
-    span = F.col("last") - F.col("first")
-    width = F.greatest(F.lit(1), F.floor(_seconds(span) * slice_trades / F.col("count")))
-    # (trades / hot_trades) rows, see max_exposure
-    scale = F.broadcast(hot.select(*OWNER, "first", width.alias("width")))
-    slice_ = F.floor(_seconds(F.col("at") - F.col("first")) / F.col("width"))
-    events = _events(legs).join(scale, OWNER).withColumn("slice", slice_).drop("first", "width")
-    dense = (
-        events.groupBy(*OWNER, "slice").count()
-        .where(F.col("count") > DENSE_FACTOR * slice_trades)
-        .select(*OWNER, "slice", F.lit(True).alias("dense"))
-    )
-    # at most (events / the limit) rows
-    events = events.join(F.broadcast(dense), [*OWNER, "slice"], "left")
+    events = _sliced(legs, hot, *extra).join(dense, [*OWNER, "slice"], "left")
     return events.withColumns({
         "slot_at": F.when(F.col("dense"), F.col("at")),
         "slot_phase": F.when(F.col("dense"), F.col("phase")),
@@ -135,17 +116,15 @@ def _slotted(legs: DataFrame, hot: DataFrame, slice_trades: int, block_bits: int
     }).drop("dense")
 
 
-def _seconds(interval):
-    return interval.cast("interval second").cast("bigint")
-
+def _sliced(legs: DataFrame, hot: DataFrame, *extra: str) -> DataFrame:
+    slice_ = F.floor(_seconds(F.col("at") - F.col("first")) / F.col("width"))
+    events = _events(legs, *extra).join(hot, OWNER, "left")
+    return events.withColumn("slice", F.coalesce(slice_, F.lit(0))).drop("first", "width")
 
-def _sliced(legs: DataFrame, hot: DataFrame, slice_trades: int, block_bits: int) -> DataFrame:
-    """Peak of logins too large for one task.
 
-    What earlier slots left behind enters a slot as opening rows: the net of
-    each symbol that trades in the slot, and the summed |net| of all others.
-    """
-    events = _slotted(legs, hot, slice_trades, block_bits)
+def _carried(events: DataFrame, extra: dict) -> DataFrame:
+    """Opening rows of the slots of hot logins: the net of each symbol that trades in
+    the slot, and the summed |net| of all others, as earlier slots left them."""
     symbol_slots = events.groupBy(*OWNER, "symbol", *SLOT).agg(F.sum("change").alias("change"))
     symbol_slots = _sum_before(symbol_slots, [*OWNER, "symbol"], "change", "start")
     slots = symbol_slots.groupBy(*OWNER, *SLOT).agg(
@@ -159,50 +138,55 @@ def _sliced(legs: DataFrame, hot: DataFrame, slice_trades: int, block_bits: int)
         return df.select(
             *OWNER, *SLOT, symbol.alias("symbol"), F.lit(None).cast("timestamp_ntz").alias("at"),
             F.lit(0).alias("phase"), F.lit(0).cast("bigint").alias("id"), F.lit(-1).alias("closing"),
-            lots.alias("change"),
+            lots.alias("change"), *[F.lit(None).cast(kind).alias(c) for c, kind in extra.items()],
         )
 
-    carried = opening_rows(symbol_slots, F.col("symbol"), F.col("start"))
-    others = opening_rows(slots, F.lit(None).cast("string"), F.col("level") - F.col("present"))
-    # one exchange that serves both windows
-    rows = events.unionByName(carried).unionByName(others).repartition(*OWNER, *SLOT)
-    walked = _walk(rows, *SLOT)
-    peaks = walked.where("closing = 0").groupBy(*OWNER).agg(F.max("exposure").alias("max_total_lots"))
-    holders = legs.groupBy(*OWNER).agg(*[F.min_by(c, "id").alias(c) for c in HOLDER])
-    return peaks.join(holders, OWNER)
-
-
-def max_exposure(
-    trades: DataFrame,
-    limits=K.EXPOSURE_LIMITS,
-    hot_trades: int = HOT_TRADES,
-    slice_trades: int = SLICE_TRADES,
-    block_bits: int = BLOCK_BITS,
-) -> DataFrame:
-    """(login, asset_class) with its largest live exposure and the account data
-    of its first trade, all classes in one pass.
+    return opening_rows(symbol_slots, F.col("symbol"), F.col("start")).unionByName(
+        opening_rows(slots, F.lit(None).cast("string"), F.col("level") - F.col("present")))
 
-    Counts the trades per login first, which runs a job.
-    """
-    legs = watched(trades, limits).select(
+
+def exposure_legs(trades: DataFrame, limits=K.EXPOSURE_LIMITS) -> DataFrame:
+    """What the exposure needs of the watched trades."""
+    return watched(trades, limits).select(
         *OWNER, "symbol", "id", "open_time", "close_time", *HOLDER,
         (signed_lot() * LOT_UNITS).cast("bigint").alias("lot"),
     )
-    # At most (trades / hot_trades) rows, so small enough to broadcast at any
-    # size of the table.
+
+
+def peaks(
+    legs: DataFrame, hot_trades: int = HOT_TRADES, slice_trades: int = SLICE_TRADES, block_bits: int = BLOCK_BITS,
+) -> DataFrame:
+    """(login, asset_class) with its largest live exposure and the account data of its first trade.
+
+    One plan for all logins; describing it runs no job. The frames that tell hot
+    logins and dense slices apart are broadcast: they have at most (trades /
+    ``hot_trades``) and (events / (``DENSE_FACTOR`` * ``slice_trades``)) rows.
+    Without a hot login they are empty, and adaptive execution drops the branches
+    that only serve hot ones.
+    """
     sizes = legs.groupBy(*OWNER).agg(
-        F.count(F.lit(1)).alias("count"), F.min("open_time").alias("first"), F.max("open_time").alias("last")
-    )
-    hot = checkpointed(sizes.where(F.col("count") > hot_trades))
-    if hot.isEmpty():
-        peaks = _whole(legs)
-    else:
-        owners = F.broadcast(hot.select(*OWNER))
-        whole = _whole(legs.join(owners, OWNER, "left_anti"))
-        sliced = _sliced(legs.join(owners, OWNER, "left_semi"), hot, slice_trades, block_bits)
-        peaks = whole.unionByName(sliced)
+        F.count(F.lit(1)).alias("count"), F.min("open_time").alias("first"), F.max("open_time").alias("last"))
+    width = F.greatest(F.lit(1), F.floor(_seconds(F.col("last") - F.col("first")) * slice_trades / F.col("count")))
+    hot = F.broadcast(sizes.where(F.col("count") > hot_trades).select(*OWNER, "first", width.alias("width")))
+    hot_legs = legs.join(hot.select(*OWNER), OWNER, "left_semi")
+    dense = F.broadcast(
+        _sliced(hot_legs, hot).groupBy(*OWNER, "slice").count()
+        .where(F.col("count") > DENSE_FACTOR * slice_trades).select(*OWNER, "slice", F.lit(True).alias("dense")))
+    events = _slotted(legs, hot, dense, block_bits, *HOLDER)
+    carried = _carried(_slotted(hot_legs, hot, dense, block_bits), {c: legs.schema[c].dataType for c in HOLDER})
+    # one exchange that serves both windows
+    walked = _walk(events.unionByName(carried).repartition(*OWNER, *SLOT))
+    by_slot = walked.where("closing = 0").groupBy(*OWNER, *SLOT).agg(
+        F.max("exposure").alias("peak"), F.min("id").alias("first_id"), *[F.min_by(c, "id").alias(c) for c in HOLDER])
+    return by_slot.groupBy(*OWNER).agg(
+        F.max("peak").alias("max_total_lots"), *[F.min_by(c, "first_id").alias(c) for c in HOLDER])
+
+
+def max_exposure(trades: DataFrame, limits=K.EXPOSURE_LIMITS, **options) -> DataFrame:
+    """(login, asset_class) with its largest live exposure, in lots, see ``peaks``."""
+    found = peaks(exposure_legs(trades, limits), **options)
     lots = F.col("max_total_lots").cast("decimal(20,0)") / LOT_UNITS
-    return peaks.withColumn("max_total_lots", lots.cast(f"decimal(23,{LOTS.scale})"))
+    return found.withColumn("max_total_lots", lots.cast(f"decimal(26,{LOTS.scale})"))
 
 
 def exposure_breaches(trades: DataFrame, limits=K.EXPOSURE_LIMITS, **options) -> DataFrame:

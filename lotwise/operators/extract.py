@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lotwise.functions.clock import in_window
 from lotwise.functions.trades import asset_class, final_lot
-from lotwise.operators.joins import broadcast_if_small
+from lotwise.operators.joins import BROADCAST_LIMIT_BYTES, are_small
 from lotwise.sources.tables import BrokerTables
 
 TRADE_COLUMNS = [
@@ -14,7 +14,7 @@ TRADE_COLUMNS = [
     "volume", "close_time_str", "commission", "digits", "open_time_str", "profit",
     "reason", "sl", "swap", "ticket", "tp", "type_str", "created_at",
 ]
-INTERNAL_KEYS = ["account_id", "updated_at", "deleted_at", "customer_id", "country_id"]
+INTERNAL_KEYS = ["account_id", "customer_id", "country_id"]
 
 
 def extract_trades(trades: DataFrame, window: tuple[int, int] | None = None) -> DataFrame:
@@ -61,16 +61,24 @@ def country_columns(countries: DataFrame) -> DataFrame:
     return countries.select(F.col("id").alias("country_id"), F.col("name").alias("country_name"))
 
 
-def enrich(tables: BrokerTables, window: tuple[int, int] | None = None) -> DataFrame:
+def enrich(
+    tables: BrokerTables, window: tuple[int, int] | None = None, broadcast_limit: int = BROADCAST_LIMIT_BYTES,
+) -> DataFrame:
     """Trades with asset class, account, customer and country columns.
 
     The account side is joined up first, so the trades cross the network at
-    most once, whatever the number of account tables.
+    most once, whatever the number of account tables. It is broadcast if its
+    tables are small. If not, and with a window, only the accounts of the window's
+    trades take part, and the joins to them cut the customers and countries down.
     """
+    trades = extract_trades(tables.trades, window)
     accounts = account_columns(tables.accounts)
     customers = customer_columns(tables.customers)
     countries = country_columns(tables.countries)
+    small = are_small([accounts, customers, countries], broadcast_limit)
+    if window is not None and not small:
+        accounts = extract_accounts(tables.accounts, trades)
     holders = accounts.join(customers, "customer_id").join(countries, "country_id").drop(*INTERNAL_KEYS)
-    holders = broadcast_if_small(holders, [accounts, customers, countries])
-    trades = extract_trades(tables.trades, window).withColumn("asset_class", asset_class())
-    return trades.join(holders, "login").drop(*INTERNAL_KEYS)
+    if small:
+        holders = F.broadcast(holders)
+    return trades.withColumn("asset_class", asset_class()).join(holders, "login").drop(*INTERNAL_KEYS)

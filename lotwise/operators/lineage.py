@@ -1,23 +1,41 @@
-"""Materialising a frame that several branches of a plan read."""
+"""Tables in the folder that driver and executors share, for frames that several plans or branches read."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Compute once and keep in the checkpoint folder of the cluster.
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Column pruning gives each branch its own version of a shared subplan, so
-    Spark would compute it once per branch. The copy survives lost executors.
+    Only a local session may go without that setting; it gets a folder of its own.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None and not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoints-"))
-    return df.checkpoint(eager=True)
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if found:
+        return found
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    found = tempfile.mkdtemp(prefix="shared-")
+    spark.conf.set("spark.checkpoint.dir", found)
+    return found
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, deleted with what is there when the application ends."""
+    place = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return place
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame as a table in the shared folder and read it from there.
+
+    Cuts the lineage: a lost executor costs the running stage only.
+    """
+    place = shared_path(df.sparkSession, name)
+    df.write.parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place)

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lotwise.functions.trades import first_known, total
+from lotwise.functions.trades import total
 from lotwise.operators.ranking import top_per_group
-from lotwise.operators.totals import totals_by
+from lotwise.operators.totals import described, totals_by
 
 
 def most_profitable_countries(cells: DataFrame, n: int = 10) -> DataFrame:
@@ -46,18 +46,12 @@ def most_profitable_logins(
     """
     # `countries` rows, so the broadcast has a fixed size
     wanted = F.broadcast(top_country_names(ranked_on, countries))
-    email = [first_known("email", "first_id").alias("email")] if with_email else []
-    logins = (
-        cells.where(F.col("login").isNotNull())
-        .join(wanted, "country_name", "left_semi")
-        .groupBy("country_name", "login")
-        .agg(
-            total("profit").alias("profit"),
-            first_known("type_account", "first_id").alias("account_type"),
-            total("trade_count").alias("trade_count"),
-            total("lots").alias("total_lots"),
-            *email,
-        )
+    texts = {"account_type": "type_account"} | ({"email": "email"} if with_email else {})
+    logins = described(
+        cells.where(F.col("login").isNotNull()).join(wanted, "country_name", "left_semi"),
+        ["country_name", "login"],
+        {"profit": ("profit", "sum"), "trade_count": ("trade_count", "sum"), "total_lots": ("lots", "sum")},
+        texts,
     )
     return top_per_group(logins, "country_name", "profit", "login", n).withColumns({
         "profit": F.col("profit").cast("double"),

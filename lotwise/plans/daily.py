@@ -1,4 +1,4 @@
-"""The daily job: extract, enrich, roll up, report.
+"""The daily job: extract, enrich, report.
 
 Each stage is a table by report date in the output folder, so a lost executor
 costs the running stage only, reports read just their columns, and a failed run
@@ -7,14 +7,16 @@ resumes with the stage that failed.
 
 from __future__ import annotations
 
+from datetime import date, datetime, timedelta, timezone
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lotwise.functions.clock import day_bounds, normalize_times
-from lotwise.operators.cells import as_cells, roll_up
 from lotwise.operators.extract import enrich
+from lotwise.operators.lineage import shared_dir
 from lotwise.plans.catalog import CHECKS, report_builders
+from lotwise.session import tune
 from lotwise.sources.enriched import read_enriched, write_enriched
 from lotwise.sources.reports import write_reports
 from lotwise.sources.tables import BrokerTables
@@ -26,23 +28,33 @@ def extract_day(tables: BrokerTables, report_date: str, path: str, utc_offset_ho
     write_enriched(normalize_times(enriched), path, report_date)
 
 
+def previous_day(today: date | None = None, utc_offset_hours: int = 0) -> str:
+    """The day before ``today``, by default on the clock of the given offset."""
+    if today is None:
+        today = datetime.now(timezone(timedelta(hours=utc_offset_hours))).date()
+    return (today - timedelta(days=1)).isoformat()
+
+
 def report_day(trades: DataFrame, root: str, report_date: str, parallel: int = 4) -> None:
     """Write the report set over normalised trades to ``<root>/reports`` and the
     data-quality checks to ``<root>/checks``."""
-    cells_path = f"{root}/cells"
-    write_enriched(roll_up(as_cells(trades)), cells_path, report_date)
     spark = trades.sparkSession
-    cells = read_enriched(spark, cells_path, report_date)
-    write_reports(spark, report_builders(trades, cells), f"{root}/reports", report_date, parallel)
+    write_reports(spark, report_builders(trades), f"{root}/reports", report_date, parallel)
     checks = {name: partial(check, trades) for name, check in CHECKS.items()}
     write_reports(spark, checks, f"{root}/checks", report_date, parallel)
 
 
 def run_day(
-    spark: SparkSession, tables: BrokerTables, report_date: str, root: str,
+    spark: SparkSession, tables: BrokerTables, report_date: str | None, root: str,
     utc_offset_hours: int = 0, parallel: int = 4,
 ) -> None:
-    """Both stages; trades go to ``<root>/enriched``, reports to ``<root>/reports``."""
+    """Both stages; trades go to ``<root>/enriched``, reports to ``<root>/reports``.
+
+    Without a date, the report is on the previous day.
+    """
+    shared_dir(spark)  # a missing setting is an error before anything is written
+    tune(spark)
+    report_date = report_date or previous_day(utc_offset_hours=utc_offset_hours)
     path = f"{root.rstrip('/')}/enriched"
     extract_day(tables, report_date, path, utc_offset_hours)
     report_day(read_enriched(spark, path, report_date), root.rstrip("/"), report_date, parallel)

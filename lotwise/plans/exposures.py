@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lotwise import constants as K
 from lotwise.operators.exposure import exposure_breaches
-from lotwise.operators.lineage import checkpointed
+from lotwise.operators.lineage import stored
 from lotwise.operators.ranking import number_rows
 
 COLUMNS = ["login", "max_total_lots", "equity", "package_type", "breachedby", "pnl"]
@@ -20,8 +20,10 @@ def class_exposure(trades: DataFrame, asset_class: str, limits=K.EXPOSURE_LIMITS
 
 def exposure_combined(trades: DataFrame, limits=K.EXPOSURE_LIMITS, **options) -> DataFrame:
     """The breaching logins of all classes side by side: the n-th login of each
-    class, in login order, shares row n. Logins in one row are unrelated."""
-    breaches = checkpointed(exposure_breaches(trades, limits, **options))
+    class, in login order, shares row n. Logins in one row are unrelated.
+
+    Numbering reads the breaching logins several times, so they are stored first."""
+    breaches = stored(exposure_breaches(trades, limits, **options), "exposure-breaches")
     numbered = number_rows(breaches, "asset_class", "login")
     cells = [
         # one row per class and position, so any aggregate picks it

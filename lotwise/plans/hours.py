@@ -5,49 +5,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from lotwise.functions.clock import is_closed
-from lotwise.functions.trades import total
-from lotwise.operators.totals import totals_by
+from lotwise.functions.trades import first_at, total
 
 
 def hour_summary(trades: DataFrame, clock: str, name: str) -> DataFrame:
     """Totals per hour of ``clock``, with the countries of the largest and of the
     most profitable trade (ties to the first trade)."""
     hourly = trades.withColumn(name, F.hour(clock).cast("bigint")).where(F.col(name).isNotNull())
-    totals = totals_by(
-        hourly,
-        name,
+    # Carrying the texts of the top trades through an aggregate of the trades would
+    # turn it from a hash into a sort aggregate. So the country is a key first; a
+    # second aggregate, over a few thousand rows, picks the countries.
+    by_country = hourly.groupBy(name, "country_name").agg(
         F.count("id").alias("trade_count"),
         total("final_lot").alias("total_lots"),
         total("profit").alias("total_profit"),
         F.max("final_lot").alias("top_lot"),
         F.max("profit").alias("top_profit"),
-        distinct="login",
-        name="unique_logins",
+        F.max(first_at("final_lot", "id")).alias("lot_trade"),
+        F.max(first_at("profit", "id")).alias("profit_trade"),
     )
-    # Carrying the texts of the top trades through the aggregate would turn it
-    # from a hash into a sort aggregate. So the at most 24 rows go back to the
-    # trades instead, and only trades at a maximum are looked at again.
-    largest = F.col("final_lot").eqNullSafe(F.col("top_lot"))
-    best = F.col("profit").eqNullSafe(F.col("top_profit"))
-    return (
-        hourly.select(name, "id", "final_lot", "profit", "country_name")
-        .join(F.broadcast(totals), name)
-        .where(largest | best)
-        .groupBy(*totals.columns)
-        .agg(
-            F.min_by("country_name", F.when(F.col("final_lot") == F.col("top_lot"), F.col("id"))).alias("lot_country"),
-            F.min_by("country_name", F.when(F.col("profit") == F.col("top_profit"), F.col("id"))).alias("profit_country"),
-        )
-        .select(
-            name, "trade_count",
-            F.col("total_lots").cast("double").alias("total_lots"),
-            F.col("total_profit").cast("double").alias("total_profit"),
-            "unique_logins",
-            F.col("lot_country").alias("highest_lot_country"),
-            F.col("top_lot").cast("double").alias("highest_lot_country_lot"),
-            F.col("profit_country").alias("highest_profit_country"),
-            F.col("top_profit").cast("double").alias("highest_profit_country_profit"),
-        )
+    totals = by_country.groupBy(name).agg(
+        F.sum("trade_count").alias("trade_count"),
+        F.sum("total_lots").cast("double").alias("total_lots"),
+        F.sum("total_profit").cast("double").alias("total_profit"),
+        F.max_by("country_name", "lot_trade").alias("highest_lot_country"),
+        F.max("top_lot").cast("double").alias("highest_lot_country_lot"),
+        F.max_by("country_name", "profit_trade").alias("highest_profit_country"),
+        F.max("top_profit").cast("double").alias("highest_profit_country_profit"),
+    )
+    logins = hourly.groupBy(name).agg(F.countDistinct("login").alias("unique_logins"))
+    return totals.join(logins, name).select(
+        name, "trade_count", "total_lots", "total_profit", "unique_logins", "highest_lot_country",
+        "highest_lot_country_lot", "highest_profit_country", "highest_profit_country_profit",
     )
 
 

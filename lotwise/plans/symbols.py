@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lotwise.functions.trades import first_known, total
+from lotwise.functions.trades import total
 from lotwise.operators.ranking import top_per_group
-from lotwise.operators.totals import totals_by
+from lotwise.operators.totals import described, totals_by
 
 ACCOUNT = ["type_account", "country_name"]
 
@@ -101,18 +101,16 @@ def symbol_summary(cells: DataFrame) -> DataFrame:
     )
 
 
-def _per_symbol_login(cells: DataFrame, *measures) -> DataFrame:
+def _per_symbol_login(cells: DataFrame, measures: dict) -> DataFrame:
     known = F.col("symbol").isNotNull() & F.col("login").isNotNull()
-    return cells.where(known).groupBy("symbol", "login").agg(
-        *measures,
-        first_known("type_account", "first_id").alias("account_type"),
-        first_known("country_name", "first_id").alias("country_name"),
-    )
+    return described(
+        cells.where(known), ["symbol", "login"], measures,
+        {"account_type": "type_account", "country_name": "country_name"})
 
 
 def top_logins(cells: DataFrame, n: int = 3) -> DataFrame:
     """Most profitable logins of each symbol; ``current_pnl`` holds their lots."""
-    logins = _per_symbol_login(cells, total("profit").alias("profit"), total("lots").alias("current_pnl"))
+    logins = _per_symbol_login(cells, {"profit": ("profit", "sum"), "current_pnl": ("lots", "sum")})
     return top_per_group(logins, "symbol", "profit", "login", n).select(
         "symbol", "login", F.col("profit").cast("double").alias("profit"), "account_type",
         F.col("current_pnl").cast("double").alias("current_pnl"), "country_name",
@@ -121,9 +119,7 @@ def top_logins(cells: DataFrame, n: int = 3) -> DataFrame:
 
 def top_lots_per_trade(cells: DataFrame, n: int = 3) -> DataFrame:
     """Logins with the largest single trade of each symbol."""
-    logins = _per_symbol_login(
-        cells, F.max("max_lot").alias("max_lot_per_trade"), total("profit").alias("current_pnl")
-    )
+    logins = _per_symbol_login(cells, {"max_lot_per_trade": ("max_lot", "max"), "current_pnl": ("profit", "sum")})
     return top_per_group(logins, "symbol", "max_lot_per_trade", "login", n).select(
         "symbol", "login", F.col("max_lot_per_trade").cast("double").alias("max_lot_per_trade"), "account_type",
         F.col("current_pnl").cast("double").alias("current_pnl"), "country_name",

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-LOTS = T.DecimalType(18, 3)
-MONEY = T.DecimalType(18, 2)
+# Finer than any amount a broker books; a value that is finer still is an error
+# on read (`sources.tables.exact`), never rounded.
+LOTS = T.DecimalType(18, 6)
+MONEY = T.DecimalType(18, 6)
 
 TRADES = T.StructType([
     T.StructField("id", T.LongType()),

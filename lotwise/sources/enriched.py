@@ -3,38 +3,76 @@ the reports: a CSV file with a header, or a parquet table by report date."""
 
 from __future__ import annotations
 
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from lotwise import constants as K
 from lotwise.schemas import ENRICHED
+from lotwise.sources.tables import exact
 
 CSV_NAMES = {"final_lot": "FinalLot"}
 # Kept as text by the CSV reader: `normalize_times` decides what is an error.
 CSV_TEXT_TIMES = ("open_time", "close_time")
+# Part of the hand-off, but read by no report; a file may lack them.
+CSV_OPTIONAL = (
+    "open_price", "close_price", "close_time_str", "commission", "digits", "reason", "sl", "ticket", "tp", "volume",
+)
+# Quotes are doubled inside quotes, a backslash is an ordinary character, and blanks belong to their cell.
+CSV_OPTIONS = {
+    "header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
 DATE_IN_NAME = r"(\d{4}-\d{2}-\d{2})"
 
 
+def _csv_files(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files of a CSV folder by their header; only their first lines are read."""
+    found: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(map(unquote, spark.read.text(path).inputFiles())):
+        names = spark.read.options(**CSV_OPTIONS, inferSchema=False).csv(file).columns
+        if names:
+            found.setdefault(tuple(names), []).append(file)
+    return found
+
+
 def read_enriched_csv(spark: SparkSession, path: str, nulls=K.CSV_NULLS) -> DataFrame:
     """Enriched trades from CSV, with ``report_date`` taken from the file name.
 
-    Cells in ``nulls`` are null in every column. A number that is no number is
-    an error, except in the two epoch columns.
+    Columns are matched by name in every file, as their order is free. A file
+    without a column that some report reads is an error that names it. Cells in
+    ``nulls`` are null in every column. A number that is no number, or too fine for
+    its column, is an error, except in the two epoch columns.
     """
-    # Text first: the null spellings have to go before any cast. Columns are
-    # matched to the header by name, as their order in the file is free.
-    raw = spark.read.options(header=True, inferSchema=False).csv(path)
+    parts = [_read_one_header(spark, list(names), files, nulls) for names, files in _csv_files(spark, path).items()]
+    if not parts:
+        return spark.createDataFrame([], T.StructType([*[
+            T.StructField(f.name, T.StringType()) if f.name in CSV_TEXT_TIMES else f for f in ENRICHED.fields
+        ], T.StructField("report_date", T.StringType())]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _read_one_header(spark: SparkSession, names: list[str], files: list[str], nulls) -> DataFrame:
+    wanted = [CSV_NAMES.get(f.name, f.name) for f in ENRICHED.fields if f.name not in CSV_OPTIONAL]
+    if missing := [name for name in wanted if name not in names]:
+        raise ValueError(f"columns {missing} are missing in {files[0]}")
+    # Text first: the null spellings have to go before any cast.
+    layout = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+    raw = spark.read.options(**CSV_OPTIONS, enforceSchema=True).schema(layout).csv(files)
+    place = {name: f"c{i}" for i, name in enumerate(names)}
 
     def column(field: T.StructField):
         name = CSV_NAMES.get(field.name, field.name)
-        if name not in raw.columns:
+        if name not in place:
             return F.lit(None).cast(field.dataType).alias(field.name)
-        text = F.when(~F.col(f"`{name}`").isin(nulls), F.col(f"`{name}`"))
+        cell = place[name]
+        text = f"CASE WHEN {cell} NOT IN ({', '.join(repr(n) for n in nulls)}) THEN {cell} END"
         if field.name in CSV_TEXT_TIMES or isinstance(field.dataType, T.StringType):
-            return text.alias(field.name)
+            return F.expr(text).alias(field.name)
         if isinstance(field.dataType, (T.LongType, T.IntegerType)):
             # whole numbers may be spelled "5.0" where the column has nulls
-            return text.cast("decimal(38,4)").cast(field.dataType).alias(field.name)
-        return text.cast(field.dataType).alias(field.name)
+            return F.expr(text).cast("decimal(38,4)").cast(field.dataType).alias(field.name)
+        return F.expr(exact(f"({text})", field.name, T.StringType(), field.dataType)).alias(field.name)
 
     date = F.regexp_extract(F.col("_metadata.file_name"), DATE_IN_NAME, 1)
     return raw.select(
@@ -44,7 +82,7 @@ def read_enriched_csv(spark: SparkSession, path: str, nulls=K.CSV_NULLS) -> Data
 
 
 def write_enriched_csv(enriched: DataFrame, path: str) -> None:
-    enriched.withColumnsRenamed(CSV_NAMES).write.mode("overwrite").option("header", True).csv(path)
+    enriched.withColumnsRenamed(CSV_NAMES).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def write_enriched(enriched: DataFrame, path: str, report_date: str) -> None:

@@ -18,8 +18,8 @@ SYMBOLS = [
 ]
 LOGIN_BASES = [70000000, 30000000, 50000000, 10000000]
 ACCOUNT_TYPES = [
-    "Stellar 2-Step Real 100K", "Stellar 1-Step Demo 100K", "Evaluation P2 200K",
-    "real 50K", "Stellar 2-Step Demo 25K", "Express REAL 200K", None,
+    "Phase A Real 100K", "Stellar 1-Step Demo 100K", "Evaluation P2 200K",
+    "real 50K", "Phase A Demo 25K", "Phase B REAL 200K", None,
 ]
 STARTING_BALANCES = [50000, 100000, 200000]
 BROKER_CLOCK_OFFSET = 10800

@@ -28,9 +28,30 @@ class BrokerTables:
     countries: DataFrame
 
 
+# What binary floating point may leave behind a decimal amount, relative to it.
+FLOAT_NOISE = 1e-9
+
+
+def exact(value: str, name: str, source: T.DataType, target: T.DataType) -> str:
+    """SQL that casts ``value``; an amount the decimal type cannot hold is an error that names the column."""
+    cast = f"cast({value} AS {target.simpleString()})"
+    if not isinstance(target, T.DecimalType) or source == target or isinstance(source, (T.IntegralType, T.NullType)):
+        return cast
+    tried = f"try_cast({value} AS {target.simpleString()})"
+    if isinstance(source, T.DecimalType):
+        fits = f"{tried} = {value}"
+    else:
+        number = f"try_cast({value} AS double)"
+        fits = f"abs({tried} - {number}) <= {FLOAT_NOISE} * greatest(1, abs({number}))"
+    error = f"raise_error(concat('column {name}: no exact {target.simpleString()}: ', {value}))"
+    return f"CASE WHEN {value} IS NULL OR {fits} THEN {tried} ELSE cast({error} AS {target.simpleString()}) END"
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Project to the declared columns and types."""
-    return df.selectExpr(*[f"cast({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields])
+    """Project to the declared columns and types, without rounding amounts."""
+    return df.selectExpr(*[
+        f"{exact(f.name, f.name, df.schema[f.name].dataType, f.dataType)} AS {f.name}" for f in schema.fields
+    ])
 
 
 def read_parquet_tables(spark: SparkSession, root: str) -> BrokerTables:
@@ -41,31 +62,62 @@ def read_parquet_tables(spark: SparkSession, root: str) -> BrokerTables:
     })
 
 
+def window_predicates(window: tuple[int, int], partitions: int) -> list[str]:
+    """SQL conditions that deal the trades of a window into ``partitions`` parts, each trade into one.
+
+    Trades opened in the window are cut by open time, the others closed in it by
+    close time, so every part is a range of an index whatever the history holds.
+    """
+    first, last = window
+    parts = max(1, partitions // 2)
+    edges = [first + (last + 1 - first) * i // parts for i in range(parts + 1)]
+    ranges = [(a, b) for a, b in zip(edges[:-1], edges[1:], strict=True) if a < b]
+    earlier = f"(open_time IS NULL OR open_time < {first} OR open_time > {last})"
+    return [f"open_time >= {a} AND open_time < {b}" for a, b in ranges] + [
+        f"close_time >= {a} AND close_time < {b} AND {earlier}" for a, b in ranges
+    ]
+
+
+def window_tables(window: tuple[int, int]) -> dict[str, str]:
+    """What to read of each table: the account side only for the trades of the window."""
+    first, last = window
+    logins = (
+        f"SELECT login FROM trades WHERE open_time BETWEEN {first} AND {last} OR close_time BETWEEN {first} AND {last}")
+    holders = f"SELECT customer_id FROM accounts WHERE login IN ({logins})"
+    homes = f"SELECT country_id FROM customers WHERE id IN ({holders})"
+    return {
+        "trades": "trades",
+        "accounts": f"(SELECT * FROM accounts WHERE login IN ({logins})) AS accounts",
+        "customers": f"(SELECT * FROM customers WHERE id IN ({holders})) AS customers",
+        "countries": f"(SELECT * FROM countries WHERE id IN ({homes})) AS countries",
+    }
+
+
 def read_jdbc_tables(
     spark: SparkSession,
     url: str,
     properties: dict[str, str],
-    trade_ids: tuple[int, int],
+    window: tuple[int, int] | None = None,
     partitions: int = 64,
     fetch_size: int = 10_000,
 ) -> BrokerTables:
     """Tables of a relational database, e.g. ``jdbc:mysql://…``.
 
-    The trades scan is split over ``trade_ids`` (lowest and highest id) into
-    ``partitions`` parallel range queries. The window filter and the column
-    list become part of the SQL that the database runs.
+    With a window (epoch seconds, both included) the database returns its trades
+    in up to ``partitions`` parallel range queries, and only the accounts,
+    customers and countries these trades need. Without one, each table is read
+    whole by one query.
     """
-    reader = spark.read.format("jdbc").options(url=url, fetchsize=str(fetch_size), **properties)
+    tables = window_tables(window) if window else {name: name for name in TABLE_SCHEMAS}
 
     def table(name: str) -> DataFrame:
-        source = reader.option("dbtable", name)
-        if name == "trades":
-            source = source.options(
-                partitionColumn="id",
-                lowerBound=str(trade_ids[0]),
-                upperBound=str(trade_ids[1]),
-                numPartitions=str(partitions),
-            )
-        return conform(source.load(), TABLE_SCHEMAS[name])
+        # a reader is changed by its options, so every table gets its own
+        options = {"url": url, "fetchsize": str(fetch_size), **properties}
+        if window and name == "trades":
+            table_options = {k: v for k, v in options.items() if k != "url"}
+            source = spark.read.jdbc(url, tables[name], predicates=window_predicates(window, partitions), properties=table_options)
+        else:
+            source = spark.read.format("jdbc").options(dbtable=tables[name], **options).load()
+        return conform(source, TABLE_SCHEMAS[name])
 
     return BrokerTables(**{name: table(name) for name in TABLE_SCHEMAS})

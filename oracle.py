@@ -133,6 +133,9 @@ def _extracts() -> dict[str, str]:
             {_dbl('profit', 'profit')}, {_dbl('swap', 'swap')}, volume, type_str, type_account,
             {_dbl('equity', 'equity')}, breachedby, {_dbl('starting_balance', 'starting_balance')}, email,
             country_name, open_time_str, close_time_str, created_at FROM s""",
+        "enriched_csv_round_trip": f"""SELECT id, login, symbol, asset_class, {_dbl('final_lot', 'final_lot')},
+            {_dbl('profit', 'profit')}, {_dbl('swap', 'swap')}, type_account, {_dbl('equity', 'equity')}, breachedby,
+            {_dbl('starting_balance', 'starting_balance')}, email, country_name, open_time_str, created_at FROM s""",
         "final_lot": f"SELECT id, login, {_dbl('final_lot', 'final_lot')} FROM trades",
         "classify_asset_class": "SELECT id, symbol, asset_class FROM trades",
         "distinct_symbols": "SELECT DISTINCT symbol FROM s",
@@ -346,6 +349,7 @@ def _exposure() -> dict[str, str]:
         f"max({c}) FILTER (WHERE asset_class = '{n}') AS {n.lower()}_{c}" for n in K.EXPOSURE_LIMITS for c in columns
     )
     out = {f"exposure_{n.lower()}": f"{breaches(n)} SELECT {', '.join(columns)} FROM b" for n in K.EXPOSURE_LIMITS}
+    out["exposure_sliced"] = f"{breaches(*K.EXPOSURE_LIMITS)} SELECT asset_class, {', '.join(columns)} FROM b"
     out["exposure_combined"] = f"""{breaches(*K.EXPOSURE_LIMITS)},
         p AS (SELECT *, row_number() OVER (PARTITION BY asset_class ORDER BY login) AS position FROM b)
         SELECT position, {cells} FROM p GROUP BY position"""

@@ -125,3 +125,13 @@ def test_outside_market_hours(spark):
     got = [r.o for r in df.orderBy("id").select(clock.outside_hours(F.col("open_time")).alias("o")).collect()]
     assert got == list(times.values())
     assert rows(df.limit(0)) == []
+
+
+def test_previous_day():
+    from datetime import date
+
+    from lotwise.plans.daily import previous_day
+
+    assert previous_day(date(2024, 3, 1)) == "2024-02-29"
+    assert previous_day(date(2025, 1, 1)) == "2024-12-31"
+    assert len(previous_day()) == 10

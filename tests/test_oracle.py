@@ -7,10 +7,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registry
+import oracle
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = registry.queries()
-ORACLE = registry.oracle_sql()
+QUERIES = registry.trade_queries()
+ORACLE = oracle.statements()
 
 
 @pytest.fixture(scope="module")

@@ -1,33 +1,45 @@
 import os
+from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from helpers import epoch, raw_trades, rows
-from lotwise.functions.clock import normalize_times
+from lotwise.functions.clock import day_bounds, normalize_times
 from lotwise.operators.extract import enrich, extract_accounts, extract_trades
-from lotwise.operators.joins import broadcast_if_small
+from lotwise.operators.joins import are_small
 from lotwise.plans.catalog import CHECKS, REPORTS, build_reports
 from lotwise.plans.daily import run_day
-from lotwise.schemas import ENRICHED
+from lotwise.schemas import ENRICHED, MONEY
 from lotwise.sources.enriched import (
-    read_enriched, read_enriched_csv, write_enriched, write_enriched_csv,
+    CSV_NAMES, CSV_OPTIONAL, read_enriched, read_enriched_csv, write_enriched, write_enriched_csv,
 )
 from lotwise.sources.sample import sample_tables
-from lotwise.sources.tables import TABLE_SCHEMAS, read_parquet_tables
+from lotwise.sources.tables import TABLE_SCHEMAS, conform, read_jdbc_tables, read_parquet_tables
 
 SF = "/root/testdata/sf0.001"
 
 
+FULL_HEADER = [CSV_NAMES.get(f.name, f.name) for f in ENRICHED.fields]
+
+
+def write_csv(path, names, *lines, drop=()):
+    """A CSV file with the columns in ``names`` first and the others after them, empty."""
+    rest = [n for n in FULL_HEADER if n not in names and n not in drop]
+    body = "".join(line + "," * len(rest) + "\n" for line in lines)
+    path.write_text(",".join([*names, *rest]) + "\n" + body)
+    return str(path)
+
+
 def test_csv_null_spellings_times_and_report_date(spark, tmp_path):
-    path = tmp_path / "trades_filtered_2024-08-22.csv"
-    path.write_text(
-        "id,login,symbol,open_time,close_time,open_time_str,profit,FinalLot,type_account,email,breachedby,volume\n"
-        "1,70001,EURUSD,1724284700,1724284800.0,2024-08-22 03:00:00,1.50,0.010,Real,None,,100\n"
-        "2,70002,NA,1724284700,x,2024-08-22 03:00:00,NA,2,null,a@example.com,N/A,5.0\n"
-        '3,70003,"US30",1724284700,,2024-08-22 03:00:00,-2,2,"Real, 50K",a@example.com,daily,7\n'
+    names = "id,login,symbol,open_time,close_time,open_time_str,profit,FinalLot,type_account,email,breachedby,volume".split(",")
+    path = write_csv(
+        tmp_path / "trades_filtered_2024-08-22.csv", names,
+        "1,70001,EURUSD,1724284700,1724284800.0,2024-08-22 03:00:00,1.50,0.010,Real,None,,100",
+        "2,70002,NA,1724284700,x,2024-08-22 03:00:00,NA,2,null,a@example.com,N/A,5.0",
+        '3,70003,"US30",1724284700,,2024-08-22 03:00:00,-2,2,"Real, 50K",a@example.com,daily,7',
     )
-    df = read_enriched_csv(spark, str(path))
+    df = read_enriched_csv(spark, path)
     got = df.orderBy("id").collect()
     assert [r.report_date for r in got] == ["2024-08-22"] * 3
     assert [r.email for r in got] == [None, "a@example.com", "a@example.com"]
@@ -39,12 +51,40 @@ def test_csv_null_spellings_times_and_report_date(spark, tmp_path):
 
 
 def test_csv_without_a_date_in_its_name(spark, tmp_path):
-    path = tmp_path / "trades_with_asset_classes.csv"
-    path.write_text("id,login\n1,2\n")
-    row = read_enriched_csv(spark, str(path)).first()
+    row = read_enriched_csv(spark, write_csv(tmp_path / "trades with classes.csv", ["id", "login"], "1,2")).first()
     assert (row.report_date, row.id, row.login, row.profit) == (None, 1, 2, None)
 
 
+def test_csv_columns_are_matched_by_name_in_every_file(spark, tmp_path):
+    write_csv(tmp_path / "a_2024-08-21.csv", ["id", "login", "symbol"], "1,70001,EURUSD")
+    write_csv(tmp_path / "b_2024-08-22.csv", ["login", "id", "symbol"], "70002,2,US30", drop=("tp",))
+    got = {(r.id, r.login, r.symbol, r.report_date) for r in read_enriched_csv(spark, str(tmp_path)).collect()}
+    assert got == {(1, 70001, "EURUSD", "2024-08-21"), (2, 70002, "US30", "2024-08-22")}
+
+
+def test_csv_without_a_needed_column_is_refused(spark, tmp_path):
+    with pytest.raises(ValueError, match="FinalLot.*profit|profit.*FinalLot"):
+        read_enriched_csv(spark, write_csv(tmp_path / "x.csv", ["id"], "1", drop=("profit", "FinalLot")))
+    write_csv(tmp_path / "y.csv", ["id"], "1", drop=CSV_OPTIONAL)
+    assert read_enriched_csv(spark, str(tmp_path / "y.csv")).first().volume is None
+
+
+def test_csv_amounts_are_kept_or_refused(spark, tmp_path):
+    row = read_enriched_csv(spark, write_csv(tmp_path / "a.csv", ["profit", "FinalLot"], "1.005,0.0004")).first()
+    assert (row.profit, row.final_lot) == (Decimal("1.005"), Decimal("0.0004"))
+    with pytest.raises(Exception, match="column profit"):
+        read_enriched_csv(spark, write_csv(tmp_path / "b.csv", ["profit"], "1.00000049")).collect()
+
+
+def test_csv_quotes_and_backslashes(spark, tmp_path):
+    texts = ['a "b" c', 'x, y\\', '"', '\\"', "it's", ' a ']
+    df = raw_trades(spark, [{"id": i, "email": t} for i, t in enumerate(texts)])
+    write_enriched_csv(df, str(tmp_path / "out"))
+    assert [r.email for r in read_enriched_csv(spark, str(tmp_path / "out")).orderBy("id").collect()] == texts
+    line = '1,"a ""b"" c"'
+    assert read_enriched_csv(spark, write_csv(tmp_path / "z.csv", ["id", "email"], line)).first().email == 'a "b" c'
+
+
 def test_csv_round_trip(spark, tmp_path):
     df = enrich(sample_tables(spark, SF))
     path = str(tmp_path / "trades")
@@ -117,10 +157,88 @@ def test_enriched_columns(spark, broker_root):
 
 def test_broadcast_only_below_the_limit(spark, broker_root):
     tables = read_parquet_tables(spark, broker_root)
+    assert are_small([tables.accounts]) and not are_small([tables.accounts], 10)
+    window = day_bounds("2024-01-15")
 
     def plan(limit):
-        df = broadcast_if_small(tables.accounts, [tables.accounts], limit)
-        return df._jdf.queryExecution().logical().toString()
+        return enrich(tables, window, limit)._jdf.queryExecution().analyzed().toString()
+
+    # a large account side is cut down to the window's accounts instead
+    assert "broadcast" in plan(10**9).lower() and "LeftSemi" not in plan(10**9)
+    assert "broadcast" not in plan(10).lower() and "LeftSemi" in plan(10)
+    assert rows(enrich(tables, window, 10)) == rows(enrich(tables, window))
+
+
+class Recorder:
+    """Stands for a session: records what readers are asked for."""
+
+    def __init__(self, frames):
+        self.frames, self.calls = frames, []
+
+    @property
+    def read(self):
+        return RecordingReader(self)
+
+
+class RecordingReader:
+    def __init__(self, owner):
+        self.owner, self.options_ = owner, {}
+
+    def format(self, name):
+        assert name == "jdbc"
+        return self
+
+    def options(self, **options):
+        self.options_.update(options)
+        return self
+
+    def load(self):
+        return self._found(self.options_["dbtable"], {"options": self.options_})
+
+    def jdbc(self, url, table, predicates, properties):
+        return self._found(table, {"url": url, "predicates": predicates, "properties": properties})
+
+    def _found(self, table, call):
+        self.owner.calls.append((table, call))
+        return self.owner.frames[table.split()[-1]]
+
+
+def test_jdbc_reads_the_window_and_its_accounts(spark, broker_root):
+    frames = {name: getattr(read_parquet_tables(spark, broker_root), name) for name in TABLE_SCHEMAS}
+    first, last = day_bounds("2024-01-15")
+    recorder = Recorder(frames)
+    tables = read_jdbc_tables(recorder, "jdbc:mysql://db", {"user": "u"}, (first, last), partitions=8)
+    calls = dict(recorder.calls)
+    trades = calls.pop("trades")
+    assert trades["url"] == "jdbc:mysql://db" and trades["properties"] == {"fetchsize": "10000", "user": "u"}
+    for table, call in calls.items():
+        assert call["options"] == {"url": "jdbc:mysql://db", "fetchsize": "10000", "user": "u", "dbtable": table}
+        assert "WHERE" in table and str(first) in table
+    # the parts hold every trade of the window once
+    parts = [tables.trades.where(p).count() for p in trades["predicates"]]
+    assert len(parts) == 8 and sum(parts) == extract_trades(tables.trades, (first, last)).count() > 0
+    union = tables.trades.where("false")
+    for p in trades["predicates"]:
+        union = union.union(tables.trades.where(p))
+    assert union.select("id").distinct().count() == sum(parts)
+
+
+def test_jdbc_without_a_window_reads_whole_tables(spark, broker_root):
+    recorder = Recorder({name: getattr(read_parquet_tables(spark, broker_root), name) for name in TABLE_SCHEMAS})
+    read_jdbc_tables(recorder, "jdbc:mysql://db", {})
+    assert [(t, c["options"]) for t, c in recorder.calls] == [
+        (t, {"url": "jdbc:mysql://db", "fetchsize": "10000", "dbtable": t}) for t in TABLE_SCHEMAS]
+
+
+def test_amounts_are_kept_or_refused(spark):
+    schema = T.StructType([T.StructField("profit", MONEY)])
+
+    def read(values, kind):
+        return [r.profit for r in conform(spark.createDataFrame([(v,) for v in values], f"profit {kind}"), schema).collect()]
 
-    assert "broadcast" in plan(10**9).lower()
-    assert "broadcast" not in plan(10).lower()
+    assert read([1.005, 0.0004, 0.1 + 0.2, None], "double") == [Decimal("1.005"), Decimal("0.0004"), Decimal("0.3"), None]
+    assert read(["1.005", "0.0004", None], "string") == [Decimal("1.005"), Decimal("0.0004"), None]
+    assert read([Decimal("1.00500000")], "decimal(20,8)") == [Decimal("1.005")]
+    for value, kind in ((1.0000004, "double"), ("0.00000049", "string"), ("x", "string"), (Decimal("1.00000001"), "decimal(20,8)"), (1e15, "double")):
+        with pytest.raises(Exception, match="column profit"):
+            read([value], kind)
