@@ -43,7 +43,7 @@ BASE = (
 RULES = (
     Rule("word_length", "word_chars", of="n_words", low=2, high=20),
     Rule("symbols", "n_symbols", of="n_words", high=0.1),
-    Rule("no_letters", "n_alpha_words", of="n_words", low=0.6),
+    Rule("no_letters", "n_letter_words", of="n_words", low=0.6),
     Rule("stop_words", "n_stop_words", of="n_words", low=0.02, at_least_words=50),
     Rule("bullets", "n_bullet_lines", of="n_lines", high=0.9),
     Rule("ellipses", "n_ellipsis_lines", of="n_lines", high=0.3),
@@ -74,18 +74,19 @@ def measures(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn("text", text).select(
         "key", "text",
         F.expr(rf"filter(split(text, '{SPACES_SQL}'), w -> w <> '')").alias("words"),
-        F.expr(rf"filter(split(text, '\n', -1), l -> l rlike '[^\\x20\\x09-\\x0D]')").alias("lines"))
+        F.expr(rf"filter(split(text, '\n', -1), l -> l rlike '[^\\x20\\x09-\\x0D]')").alias("lines"),
+        F.filter(F.split(ascii_lower(F.col("text")), r"[^\p{L}]+"), lambda w: w != "").alias("letters"))
     return rows.select(
         "key",
         F.expr("size(words)").alias("n_words"),
-        F.length(F.regexp_replace("text", SPACES, "")).alias("word_chars"),
+        F.length(F.array_join("words", "")).alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", "#*$%&|<>", ""))).alias("n_symbols"),
         F.expr("size(lines) - size(array_distinct(lines))").alias("n_dup_lines"),
         F.expr(REPEATED).alias("n_repeat_words"),
         F.expr("size(lines)").alias("n_lines"),
-        F.expr(_count("words", r"x rlike '\\p{L}'")).alias("n_alpha_words"),
-        F.size(F.filter(F.split(ascii_lower(F.col("text")), r"[^\p{L}]+"), lambda w: w.isin(*dict.fromkeys(STOP_WORDS)))).alias("n_stop_words"),
-        F.expr(_count("words", r"x rlike '^[^\\p{Ll}]*\\p{Lu}[^\\p{Ll}]*$' AND length(x) > 1")).alias("n_shout_words"),
+        F.size("letters").alias("n_letter_words"),
+        F.size(F.filter("letters", lambda w: w.isin(*dict.fromkeys(STOP_WORDS)))).alias("n_stop_words"),
+        F.expr(_count("words", "length(x) > 1 AND upper(x) = x AND lower(x) <> x")).alias("n_shout_words"),
         F.expr(_count("lines", r"x rlike '^[\\x20\\x09-\\x0D]*[-*•]'")).alias("n_bullet_lines"),
         F.expr(_count("lines", r"x rlike '(\\.\\.\\.|…)[\\x20\\x09-\\x0D]*$'")).alias("n_ellipsis_lines"),
     )
@@ -141,7 +142,8 @@ def oracle_sql() -> str:
 WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
 split AS (
   SELECT *, list_filter(string_split_regex(text, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
-         list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines
+         list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines,
+         string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\pL]+') AS letters
   FROM docs),
 grams AS (
   SELECT rid, i, list_aggregate(list_slice(words, i, i + 4), 'string_agg', ' ') AS gram
@@ -156,14 +158,13 @@ counted AS (
          CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
          CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
          CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words, CAST(len(lines) AS BIGINT) AS n_lines,
-         CAST(len(list_filter(words, lambda x: regexp_matches(x, '\pL'))) AS BIGINT) AS n_alpha_words,
-         CAST(len(list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\pL]+'),
-                              lambda x: x IN ({stop}))) AS BIGINT) AS n_stop_words,
+         CAST(len(list_filter(letters, lambda x: x <> '')) AS BIGINT) AS n_letter_words,
+         CAST(len(list_filter(letters, lambda x: x IN ({stop}))) AS BIGINT) AS n_stop_words,
          CAST(len(list_filter(words, lambda x: regexp_matches(x, '^[^\p{{Ll}}]*\p{{Lu}}[^\p{{Ll}}]*$') AND length(x) > 1)) AS BIGINT) AS n_shout_words,
          CAST(len(list_filter(lines, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*' || chr(8226) || ']'))) AS BIGINT) AS n_bullet_lines,
          CAST(len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|' || chr(8230) || ')[\x20\x09-\x0D]*$'))) AS BIGINT) AS n_ellipsis_lines
   FROM split s LEFT JOIN covered c USING (rid))
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_alpha_words, n_stop_words,
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_letter_words, n_stop_words,
        n_shout_words, n_bullet_lines, n_ellipsis_lines,
        {' OR '.join(map(condition, BASE))} AS base_failed,
        NOT ({' OR '.join(map(condition, (*BASE, *RULES)))}) AS kept
