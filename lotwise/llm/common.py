@@ -1,15 +1,16 @@
-"""Reading tables, shared intermediate tables and small column helpers."""
+"""Reading tables, joins, Python workers and small column helpers."""
 
 from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from lotwise.operators.lineage import stored as stored  # what the operators of this package import from here
+
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 
@@ -18,36 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Only a local session may go without that setting; it gets a folder of its own.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    found = tempfile.mkdtemp(prefix="shared-")
-    spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame as a table in the shared folder and read it from there.
-
-    Cuts the lineage: a lost executor costs the running stage only. The table is
-    deleted when the application ends.
-    """
-    spark = df.sparkSession
-    place = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(place)
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(place)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
-    return spark.read.schema(df.schema).parquet(place)
-
-
 def whole_row(df: DataFrame) -> Column:
     """All columns as one struct, so that no name can clash with a working column."""
     return F.struct(*[F.col(quoted(c)) for c in df.columns])

@@ -95,8 +95,9 @@ class Models:
         self.total = sizes[0]
         self.scale = (1.0, sizes[0] / sizes[1] if sizes[1] else 1.0)
 
-    def losses(self, own: np.ndarray, in_target: bool) -> tuple[float, float]:
-        """Sum over tokens of minus the logarithm of the probability, for target and background.
+    def losses(self, own: np.ndarray) -> tuple[float, float, float]:
+        """Sum over tokens of minus the logarithm of the probability: by the target if the document
+        belongs to it, by the target if not, and by the background.
 
         What the document itself has added to a model is taken out of it.
         """
@@ -104,14 +105,15 @@ class Models:
         own_word, own_pair, own_before = _uses(word), _uses(cells), _uses(own.astype(np.int64))[:-1]
         vocabulary = (1 << self.vocabulary_bits) - 1
         out = []
-        for single, pair, scale, added in zip(self.single, self.pair, self.scale, (in_target, True), strict=True):
+        for model, added in ((0, 1), (0, 0), (1, 1)):
+            single, pair, scale = self.single[model], self.pair[model], self.scale[model]
             alone = np.maximum(single[word] - added * own_word, 0) * scale + ADDED
             alone /= max(self.total - added * len(word) * scale, 0) + ADDED * vocabulary
             context = np.maximum(single[before] - added * own_before, 0).astype(float)
             share = np.divide(pair[cells] - added * own_pair, context, out=np.zeros(len(cells)), where=context > 0)
             p = np.where(context > 0, PAIR_WEIGHT * np.clip(share, 0, 1) + (1 - PAIR_WEIGHT) * alone, alone)
             out.append(float(-np.log(p).sum()))
-        return out[0], out[1]
+        return out[0], out[1], out[2]
 
 
 def _uses(values: np.ndarray) -> np.ndarray:
@@ -120,31 +122,33 @@ def _uses(values: np.ndarray) -> np.ndarray:
     return n[place]
 
 
+_LOSSES = "doc_id bigint, n_tokens bigint, inside double, outside double, background double"
+
+
 def _score(models):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both: Models = models.value
         ids = WordIds(both.vocabulary_bits)
         for batch in batches:
             n_tokens, losses = [], []
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            for text, target in zip(texts, batch.column("target").to_pylist(), strict=True):
+            for text in batch.column("text").cast(pa.binary()).to_pylist():
                 own = tokens(text, ids)
                 n_tokens.append(len(own) - 1)
-                losses.append(both.losses(own, target) if len(own) > 1 else (0.0, 0.0))
+                losses.append(both.losses(own) if len(own) > 1 else (0.0, 0.0, 0.0))
             n = np.array(n_tokens, np.int64)
-            target, background = np.array(losses, float).reshape(-1, 2).T / np.maximum(n, 1)
+            means = np.array(losses, float).reshape(-1, 3).T / np.maximum(n, 1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n), pa.array(target), pa.array(background), pa.array(target - background)],
-                ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+                [batch.column("doc_id"), pa.array(n), *[pa.array(m) for m in means]],
+                ["doc_id", "n_tokens", "inside", "outside", "background"])
 
     return run
 
 
 def marked(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
-    """``doc_id``, ``text`` and whether the document belongs to the target."""
+    """``docs`` with ``target``, whether the document belongs to the target."""
     wanted = target_ids.select(F.col("doc_id").alias("of")).distinct()
     both = merge_join(docs, wanted, F.col("doc_id") == F.col("of"), "left")
-    return both.select("doc_id", "text", F.col("of").isNotNull().alias("target"))
+    return both.withColumn("target", F.col("of").isNotNull()).drop("of")
 
 
 def fit(rows: DataFrame, vocabulary_bits: int = VOCABULARY_BITS, pair_bits: int = PAIR_BITS) -> Models:
@@ -167,6 +171,10 @@ def score_documents(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_i
     losses come from smoothing alone. Other columns are not read.
     """
     rows = docs.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), F.col(quoted(text_col)).alias("text"))
-    rows = marked(rows, target_ids)
-    models = docs.sparkSession.sparkContext.broadcast(fit(rows, vocabulary_bits, pair_bits))
-    return map_arrow(rows, _score(models), "doc_id bigint, n_tokens bigint, target_loss double, background_loss double, score double")
+    models = docs.sparkSession.sparkContext.broadcast(fit(marked(rows, target_ids), vocabulary_bits, pair_bits))
+    # scored both as a part of the target and not, so that only the scores meet the labels
+    scored = marked(map_arrow(rows, _score(models), _LOSSES), target_ids)
+    target = F.when(F.col("target"), F.col("inside")).otherwise(F.col("outside"))
+    return scored.select(
+        "doc_id", "n_tokens", target.alias("target_loss"), F.col("background").alias("background_loss"),
+        (target - F.col("background")).alias("score"))
