@@ -2,18 +2,21 @@
 
 A document's set is its distinct five-word shingles, as 64-bit hashes. Documents
 with equal sets form a class, and only the class takes part in the search. The
-smallest ``SKETCH`` hashes of a set are its sketch; the smallest ``LISTED`` of them
-are entered in inverted lists. Of the ``LISTED`` smallest hashes of a union of two
-sets that are 0.75 alike, fewer than ``SHARED`` belong to both with a probability
-of about one in ten million, so
+smallest ``SKETCH`` hashes of a set are its sketch, and the smallest 24 are entered
+in inverted lists. Of the 24 smallest hashes of a union of two sets that are 0.75
+alike, at least ``shared_at_least(24)`` belong to both, but for one pair in ten
+million. So
 
 - lists of up to ``HOT`` classes give overlaps: pairs with the number of lists
   they share. Pairs with too few are dropped;
 - longer lists belong to passages that many documents share, or to large groups
-  of copies. Two classes that share no shorter list share ``SHARED`` hot ones, so
-  only classes with that many hot values remain. They are compared with hubs of
-  each list in rounds, and what the rounds leave in different components is
-  compared in full.
+  of copies. Alike classes that share no shorter list share so many hot values, so
+  only classes with that many remain. They are compared with two hubs of each list,
+  which joins large groups of copies, and go on with larger sketches, among
+  themselves: a passage that is a part of them is a smaller part of what must be
+  shared, and values of their own tell them apart;
+- what has too many hot values there too is compared in full, in blocks: classes
+  outside the largest component of a list against all classes of the list.
 
 Candidates are filtered by the similarity that the sketch of their union
 estimates, and confirmed on the full sets. Links are joined to components in Spark.
@@ -37,10 +40,12 @@ from lotwise.llm.components import components
 SHINGLE = 5
 PERCENT = 75
 SKETCH = 48
-LISTED = 24
-SHARED = 7
+LISTED = (24, 96)  # smallest hashes in inverted lists; the larger number for classes that hot lists leave apart
+WIDEST = 1024  # hashes of a sketch for what is apart after that; most sets have fewer
+KEYS = 12  # two alike sets share one of so many smallest hashes of their union, but for one pair in ten million
+BLOCK = 512
+MISSED = 1e-7
 HOT = 32
-ROUNDS = 4  # of hubs, before what is left is compared in full
 _VOCABULARY = 300_000  # word hashes a task remembers
 
 
@@ -92,6 +97,79 @@ def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
              pa.array(sketches, pa.list_(pa.int64()))], ["doc_id", "n", "digest", "sketch"])
 
 
+def _resketch(size: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, unpacker = _WordHashes(), zstandard.ZstdDecompressor()
+        for batch in batches:
+            sets = [shingles(unpacker.decompress(p), hashes) for p in batch.column("packed").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("rep"), pa.array([len(x) for x in sets], pa.int32()),
+                 pa.array([x[:size] for x in sets], pa.list_(pa.int64())),
+                 pa.array([x[:size].tobytes() for x in sets], pa.binary())], ["rep", "n", "sketch", "packed_sketch"])
+
+    return run
+
+
+def _presence(held: list[dict], values: np.ndarray) -> np.ndarray:
+    """For each class of a block which of the sorted ``values`` it has."""
+    found = np.zeros((len(held), len(values)), np.float32)
+    for row, h in zip(found, held, strict=True):
+        own = np.frombuffer(h["values"], np.int64)
+        place = np.searchsorted(values, own)
+        place[place == len(values)] = 0
+        row[place[values[place] == own]] = 1
+    return found
+
+
+def compare_blocks(outside: list[dict], members: list[dict], percent: int, widest: int) -> Iterator[tuple[int, int, bool]]:
+    """Alike pairs in different components, as few as join the components that are found to be linked.
+
+    Sets that fit the widest sketch are compared in full; larger ones that may be
+    alike are reported as unsure.
+    """
+    one, two = (np.unique(np.concatenate([np.frombuffer(h["values"], np.int64) for h in side])) for side in (outside, members))
+    values = np.intersect1d(one, two, assume_unique=True)
+    both = np.zeros((len(outside), len(members)), np.float32)
+    for at in range(0, len(values), 8192):  # a bounded part of the values at a time
+        part = values[at:at + 8192]
+        both += _presence(outside, part) @ _presence(members, part).T
+    n_a, n_b = (np.array([h["n"] for h in side], float) for side in (outside, members))
+    label_a, label_b = (np.array([h["label"] for h in side], np.int64) for side in (outside, members))
+    apart = label_a[:, None] != label_b[None, :]
+    whole = np.maximum(n_a[:, None], n_b[None, :]) <= widest
+    alike = apart & whole & (100 * both >= percent * (n_a[:, None] + n_b[None, :] - both))
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.get(x, x) != x:
+            x = root[x]
+        return x
+
+    for i, j in np.argwhere(alike):
+        x, y = find(int(label_a[i])), find(int(label_b[j]))
+        if x != y:
+            root[x] = y
+            yield outside[i]["rep"], members[j]["rep"], True
+    share = percent / 100
+    fits = np.minimum(n_a[:, None], n_b[None, :]) * 100 >= np.maximum(n_a[:, None], n_b[None, :]) * percent
+    maybe = apart & ~whole & fits & (both >= widest * (share - 5 * math.sqrt(share * (1 - share) / widest)))
+    for i, j in np.argwhere(maybe):
+        a, b = sorted((outside[i]["rep"], members[j]["rep"]))
+        yield a, b, False
+
+
+def _compare_blocks(percent: int, widest: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                held = (batch.column(c)[i].as_py() for c in ("held_a", "held_b"))
+                found = list(compare_blocks(*held, percent, widest))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([f[k] for f in found], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.bool_()))], ["a", "b", "sure"])
+
+    return run
+
+
 def _compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts for later comparison; of rows that share a doc_id, only those of the wanted class."""
     packer, hashes = zstandard.ZstdCompressor(level=1), _WordHashes()
@@ -130,129 +208,166 @@ def _confirm(percent: int):
     return run
 
 
-class _Search:
-    """The tables of one search, all in the shared folder."""
+def shared_at_least(listed: int, percent: int) -> int:
+    """So many of the ``listed`` smallest values of a union belong to both sets, but for one pair in ten million."""
+    p, below = percent / 100, 0.0
+    for s in range(listed + 1):
+        below += math.comb(listed, s) * p**s * (1 - p) ** (listed - s)
+        if below > MISSED:
+            return max(s, 1)
+    return listed
 
-    def __init__(self, docs: DataFrame, percent: int):
-        self.docs, self.percent = docs, percent
-        self.margin = 100 * 5 * math.sqrt(percent / 100 * (1 - percent / 100) / SKETCH)
-        self.sketches = stored(map_arrow(docs, _sketch_rows, _SKETCHES), "sketches")
-        self.classes = stored(
-            self.sketches.where("n > 0").groupBy("digest")
-            .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-            .where("rep is not null"), "classes")
-        listed = self.classes.select("rep", "n", F.explode(F.slice("sketch", 1, LISTED)).alias("value"))
-        shared = stored(listed.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "shared-values")
-        lists = stored(merge_join(listed, shared, "value"), "lists")
-        hot = lists.where(F.col("df") > HOT)
+
+class _Level:
+    """Inverted lists over the ``listed`` smallest values of some classes (rep, n, sketch)."""
+
+    def __init__(self, classes: DataFrame, listed: int, percent: int):
+        self.classes, self.percent = classes, percent
+        self.enough = shared_at_least(listed, percent)
+        values = classes.select("rep", "n", F.posexplode(F.slice("sketch", 1, listed)).alias("place", "value"))
+        shared = stored(values.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "shared-values")
+        lists = merge_join(values, shared, "value")
         # how many hot values a class has, and how widely shared they are
-        weight = stored(
-            hot.groupBy(F.col("rep").alias("of")).agg(F.count("*").alias("hot"), F.sum("df").alias("weight")), "hot-weights")
+        weight = lists.where(F.col("df") > HOT).groupBy(F.col("rep").alias("of")).agg(
+            F.count("*").alias("hot"), F.sum("df").alias("weight"))
         self.lists = stored(
             merge_join(lists, weight, F.col("rep") == F.col("of"), "left")
-            .select("value", "rep", "n", "df", F.coalesce("hot", F.lit(0)).alias("hot"), "weight"), "lists")
+            .select("value", "place", "rep", "n", "df", F.coalesce("hot", F.lit(0)).alias("hot"), "weight"), "lists")
         self.few = self.lists.where(F.col("df") <= HOT)
-        self.many = self.lists.where((F.col("df") > HOT) & (F.col("hot") >= self._needed(F.col("n"))))
+        # alike classes that share no shorter list; they share a value among their first ones too
+        many = self.lists.where((F.col("df") > HOT) & (F.col("hot") >= self._needed(F.col("n"))))
+        self.many = many.where(F.col("place") < KEYS)
+        self.left = many.select("rep").distinct()
 
     def _needed(self, n):
         """Listed values that two alike sets share at least; ``n`` is the size of the larger."""
-        return F.least(F.lit(SHARED), F.ceil(n * self.percent / 100))
+        return F.least(F.lit(self.enough), F.ceil(n * self.percent / 100))
 
     def _sizes_fit(self):
         return F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self.percent
 
-    def _sides(self, lists: DataFrame, other: DataFrame, *more: str) -> DataFrame:
-        one = lists.select("value", *[F.col(c).alias(f"{c}_a") for c in ("rep", "n", "hot", *more)])
-        two = other.select("value", *[F.col(c).alias(f"{c}_b") for c in ("rep", "n", "hot", *more)])
+    def sides(self, one: DataFrame, two: DataFrame, *more: str) -> DataFrame:
+        one = one.select("value", *[F.col(c).alias(f"{c}_a") for c in ("rep", "n", "hot", *more)])
+        two = two.select("value", *[F.col(c).alias(f"{c}_b") for c in ("rep", "n", "hot", *more)])
         return merge_join(one, two, "value").where(self._sizes_fit())
 
     def overlaps(self) -> DataFrame:
         """Pairs of classes that share enough of the shorter lists."""
-        shared = self._sides(self.few, self.few).where("rep_a < rep_b").groupBy("rep_a", "rep_b").agg(
+        shared = self.sides(self.few, self.few).where("rep_a < rep_b").groupBy("rep_a", "rep_b").agg(
             F.count("*").alias("shared"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"),
             F.least(F.first("hot_a"), F.first("hot_b")).alias("hot"))
-        return self._likely(shared.where(F.col("shared") + F.col("hot") >= self._needed(F.greatest("n_a", "n_b"))))
+        return shared.where(F.col("shared") + F.col("hot") >= self._needed(F.greatest("n_a", "n_b"))).select("rep_a", "rep_b")
+
+    def hub_pairs(self) -> DataFrame:
+        """Members of the longer lists with two hubs of each: the class with the widest shared values, and the smallest set."""
+        keys = self.many.groupBy("value").agg(F.max(_ranked("weight", "rep")).alias("wide"), F.min(_ranked("n", "rep")).alias("small"))
+        hubs = keys.select("value", F.explode(F.array_distinct(F.array(_unranked("wide"), _unranked("small")))).alias("hub"))
+        return merge_join(self.many.select("value", F.col("rep").alias("rep_a")), hubs, "value").select("rep_a", F.col("hub").alias("rep_b"))
 
-    def _likely(self, pairs: DataFrame) -> DataFrame:
+    def likely(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose union's sketch says that they may be alike."""
-        one = self.classes.select(F.col("rep").alias("of_a"), F.col("sketch").alias("sketch_a"))
-        two = self.classes.select(F.col("rep").alias("of_b"), F.col("sketch").alias("sketch_b"))
-        both = pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).where("a <> b")
-        both = merge_join(merge_join(both, one, F.col("a") == F.col("of_a")), two, F.col("b") == F.col("of_b"))
-        union = F.slice(F.sort_array(F.array_union("sketch_a", "sketch_b")), 1, SKETCH)
+        both = pairs.select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).where("a <> b").distinct()
+        one = self.classes.select(F.col("rep").alias("of_a"), F.col("n").alias("n_a"), F.col("sketch").alias("sketch_a"))
+        two = self.classes.select(F.col("rep").alias("of_b"), F.col("n").alias("n_b"), F.col("sketch").alias("sketch_b"))
+        both = merge_join(merge_join(both, one, F.col("a") == F.col("of_a")), two, F.col("b") == F.col("of_b")).where(self._sizes_fit())
+        union = F.sort_array(F.array_union("sketch_a", "sketch_b"))
+        union = F.slice(union, 1, F.least(F.size(union), F.greatest(F.size("sketch_a"), F.size("sketch_b"))))
         common = F.array_intersect(F.array_intersect("sketch_a", "sketch_b"), union)
-        return both.where(F.size(common) * 100 >= F.size(union) * (self.percent - self.margin)).select("a", "b")
+        # five standard deviations below the threshold
+        alike = self.percent / 100
+        margin = 5 * F.sqrt(F.lit(alike * (1 - alike)) / F.size(union))
+        return both.where(F.size(common) >= F.size(union) * (alike - margin)).select("a", "b")
+
+
+_SPREAD = "10000000000000000000"
+
+
+def _ranked(rank: str, rep: str):
+    """A rank and an id as one number, which aggregates without sorting."""
+    return F.expr(f"cast({rank} AS decimal(38, 0)) * {_SPREAD} + {rep}")
+
+
+def _unranked(key: str):
+    return F.expr(f"cast({key} - floor(({key} + {_SPREAD} / 2) / {_SPREAD}) * {_SPREAD} AS bigint)")
+
 
-    def fetch_texts(self, candidates: DataFrame) -> None:
+class _Search:
+    """The tables of one search, all in the shared folder."""
+
+    def __init__(self, docs: DataFrame, percent: int):
+        self.docs, self.percent = docs, percent
+        self.sketches = stored(map_arrow(docs, _sketch_rows, _SKETCHES), "sketches")
+        self.classes = stored(
+            self.sketches.where("n > 0").groupBy("digest")
+            .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+            .where("rep is not null"), "classes")
+
+    def fetch_texts(self, reps: DataFrame) -> None:
         """Keep the texts of all classes that any later comparison may need."""
-        wanted = candidates.select(F.explode(F.array("a", "b")).alias("rep")).unionByName(self.many.select("rep")).distinct()
-        wanted = merge_join(self.classes, wanted, "rep").select(F.col("rep").alias("of"), F.col("digest").alias("of_digest"))
-        found = merge_join(self.docs, stored(wanted, "wanted"), F.col("doc_id") == F.col("of"))
+        wanted = merge_join(self.classes, reps.distinct(), "rep").select(F.col("rep").alias("of"), F.col("digest").alias("of_digest"))
+        found = merge_join(self.docs, wanted, F.col("doc_id") == F.col("of"))
         found = map_arrow(found.select(F.col("of").alias("rep"), "of_digest", "text"), _compressed, "rep bigint, packed binary")
         self.texts = stored(found.dropDuplicates(["rep"]), "texts")
 
+    def resketched(self, reps: DataFrame, size: int) -> DataFrame:
+        """Larger sketches of some classes."""
+        found = merge_join(self.texts, reps, F.col("rep") == F.col("of")).select("rep", "packed")
+        return stored(map_arrow(found, _resketch(size), "rep bigint, n int, sketch array<bigint>, packed_sketch binary"), "sketches")
+
     def confirmed(self, candidates: DataFrame) -> DataFrame:
         one = self.texts.select(F.col("rep").alias("of_a"), F.col("packed").alias("text_a"))
         two = self.texts.select(F.col("rep").alias("of_b"), F.col("packed").alias("text_b"))
         both = merge_join(merge_join(candidates, one, F.col("a") == F.col("of_a")), two, F.col("b") == F.col("of_b"))
         return stored(map_arrow(both.select("a", "b", "text_a", "text_b"), _confirm(self.percent), "a bigint, b bigint"), "links")
 
-    def _labelled(self, links: DataFrame) -> DataFrame:
-        """Members of the longer lists with their component so far, in lists where that is not one."""
-        labels = stored(components(links), "labels")
-        members = merge_join(self.many, labels, F.col("rep") == F.col("node"), "left").select(
-            "value", "rep", "n", "hot", "weight", F.coalesce("label", "rep").alias("label"))
-        members = stored(members, "members")
-        mixed = members.groupBy("value").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-        return stored(merge_join(members, stored(mixed.select("value"), "mixed-lists"), "value"), "members")
-
-    def hub_pairs(self, members: DataFrame, outside: DataFrame) -> DataFrame:
-        """Every member with two hubs of its list: the one with the widest shared values, and the smallest set."""
-        wide = F.max(F.expr("cast(weight AS decimal(38, 0)) * 10000000000000000000 + rep"))
-        small = F.min(F.expr("cast(n AS decimal(38, 0)) * 10000000000000000000 + rep"))
-        rep = "cast(key - floor((key + 5000000000000000000) / 10000000000000000000) * 10000000000000000000 AS bigint)"
-        hubs = outside.groupBy("value").agg(F.array(wide, small).alias("keys")).select("value", F.explode("keys").alias("key"))
-        hubs = stored(hubs.select("value", F.expr(rep).alias("hub")).distinct(), "hubs")
-        known = members.select(
-            F.col("value").alias("in"), F.col("rep").alias("hub_rep"), F.col("n").alias("n_b"), F.col("label").alias("label_b"))
-        hubs = merge_join(hubs, known, (F.col("value") == F.col("in")) & (F.col("hub") == F.col("hub_rep"))).drop("in", "hub_rep")
-        hubs = stored(hubs, "hubs")
-        pairs = merge_join(members.select("value", F.col("rep").alias("rep_a"), F.col("n").alias("n_a"), "label"), hubs, "value")
-        pairs = pairs.where((F.col("label") != F.col("label_b")) & self._sizes_fit())
-        return pairs.select(F.least("rep_a", "hub").alias("rep_a"), F.greatest("rep_a", "hub").alias("rep_b")).distinct()
-
-    def links(self) -> DataFrame:
-        candidates = stored(self.overlaps(), "candidates")
-        self.fetch_texts(candidates)
-        links = self.confirmed(candidates)
-        members = outside = self._labelled(links)
-        left = members.count()
-        for _ in range(ROUNDS):
-            if not left:
-                return links
-            found = self.confirmed(self._likely(self.hub_pairs(members, outside)))
-            links = stored(links.unionByName(found), "links")
-            members = self._labelled(links)
-            outside = self._outside(members)
-            before, left = left, outside.count()
-            if left * 10 > before * 8:
-                break
-        if not left:
-            return links
-        pairs = self._sides(outside, members, "label").where("label_a <> label_b").groupBy("rep_a", "rep_b").agg(
-            F.count("*").alias("shared"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"))
-        pairs = pairs.where(F.col("shared") >= self._needed(F.greatest("n_a", "n_b")))
-        pairs = pairs.select(F.least("rep_a", "rep_b").alias("rep_a"), F.greatest("rep_a", "rep_b").alias("rep_b")).distinct()
-        return links.unionByName(self.confirmed(self._likely(pairs)))
-
-    def _outside(self, members: DataFrame) -> DataFrame:
-        """Members that are not in the largest component of their list."""
-        sizes = members.groupBy("value", "label").agg(F.count("*").alias("size"))
-        largest = sizes.groupBy(F.col("value").alias("in")).agg(
-            F.max(F.expr("cast(size AS decimal(38, 0)) * 10000000000000000000 + label")).alias("key"))
-        rep = "cast(key - floor((key + 5000000000000000000) / 10000000000000000000) * 10000000000000000000 AS bigint)"
-        largest = stored(largest.select("in", F.expr(rep).alias("main")), "largest")
-        return stored(merge_join(members, largest, F.col("value") == F.col("in")).where("label <> main").drop("in", "main"), "outside")
+    def labels(self) -> DataFrame:
+        """Component of every class that has a link."""
+        first = _Level(self.classes, LISTED[0], self.percent)
+        candidates = stored(first.likely(first.overlaps().unionByName(first.hub_pairs())), "candidates")
+        left = stored(first.left.select(F.col("rep").alias("of")), "left")
+        self.fetch_texts(candidates.select(F.explode(F.array("a", "b")).alias("rep")).unionByName(left.select(F.col("of").alias("rep"))))
+        if left.isEmpty():
+            return components(self.confirmed(candidates))
+        # classes that may be alike through hot values only: more values tell them apart
+        classes = self.resketched(left, WIDEST)
+        second = _Level(classes, LISTED[1], self.percent)
+        links = self.confirmed(candidates.unionByName(second.likely(second.overlaps())).distinct())
+        labels = components(links)
+        left = merge_join(second.left.select(F.col("rep").alias("of")), labels, F.col("of") == F.col("node"), "left")
+        left = merge_join(classes, left.select("of", F.coalesce("label", "of").alias("label")), F.col("rep") == F.col("of"))
+        more = self.in_blocks(stored(left.select("rep", "n", "label", "sketch", "packed_sketch"), "left"))
+        return labels if more.isEmpty() else components(stored(links.unionByName(more), "links"))
+
+    def in_blocks(self, classes: DataFrame) -> DataFrame:
+        """Links between components: what is not in the largest component of a list, against all of the list.
+
+        Classes that share one of their ``KEYS`` smallest values meet in blocks of
+        about ``BLOCK`` classes a side, so a task holds two blocks, whatever the
+        length of the list, and a pair is never a row unless it is linked.
+        """
+        keyed = classes.select(F.explode(F.slice("sketch", 1, KEYS)).alias("value"), "rep", "label")
+        sizes = keyed.groupBy("value", "label").agg(F.count("*").alias("size"))
+        lists = sizes.groupBy(F.col("value").alias("in")).agg(
+            F.sum("size").alias("all"), F.max("size").alias("largest"), F.max(_ranked("size", "label")).alias("key"))
+        lists = lists.where("`all` > largest").select("in", "all", "largest", _unranked("key").alias("main"))
+        keyed = merge_join(keyed, lists, F.col("value") == F.col("in"))
+
+        def block(size: str):
+            return F.pmod(F.xxhash64("rep"), F.ceil(F.expr(size) / BLOCK))
+
+        sides = keyed.select("value", F.col("rep").alias("of"), block("`all`").alias("block"), F.lit(False).alias("outside")).unionByName(
+            keyed.where("label <> main").select("value", F.col("rep").alias("of"), block("`all` - largest").alias("block"), F.lit(True).alias("outside")))
+        filled = merge_join(sides, classes, F.col("rep") == F.col("of")).groupBy("value", "block", "outside").agg(
+            F.collect_list(F.struct("rep", "n", "label", F.col("packed_sketch").alias("values"))).alias("held"))
+        filled = stored(filled, "blocks")
+        one = filled.where("outside").select("value", F.col("held").alias("held_a"))
+        two = filled.where("NOT outside").select("value", F.col("held").alias("held_b"))
+        # rows of a megabyte or two: a batch takes few of them
+        found = merge_join(one, two, "value").select("held_a", "held_b")
+        found = stored(map_arrow(found, _compare_blocks(self.percent, WIDEST), "a bigint, b bigint, sure boolean").distinct(), "found")
+        unsure = found.where("NOT sure").select("a", "b")
+        sure = found.where("sure").select("a", "b")
+        return sure if unsure.isEmpty() else stored(sure.unionByName(self.confirmed(unsure)), "links")
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -267,7 +382,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_
     """
     rows = docs.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), F.col(quoted(text_col)).alias("text"))
     search = _Search(rows, percent)
-    labels = stored(components(search.links()), "labels")
+    labels = search.labels()
     by_class = merge_join(search.classes.select("digest", "rep"), labels, F.col("rep") == F.col("node"), "left")
     by_class = stored(by_class.select(F.col("digest").alias("of_digest"), F.coalesce("label", "rep").alias("label")), "class-labels")
     found = merge_join(

@@ -75,10 +75,14 @@ def test_large_groups_and_shared_passages(spark, monkeypatch, share):
     assert result(spark, rows) == brute(rows)
 
 
-def test_what_hubs_leave_is_compared_in_full(spark, monkeypatch):
+@pytest.mark.parametrize("widest", [1024, 24])
+def test_what_hubs_leave_is_compared_in_blocks(spark, monkeypatch, widest):
+    """Many near copies around the threshold; with small sketches the blocks are not sure."""
     monkeypatch.setattr(near_dedup, "HOT", 3)
-    monkeypatch.setattr(near_dedup, "ROUNDS", 0)
-    rows = corpus(4, 3, 40, 0.05)
+    monkeypatch.setattr(near_dedup, "LISTED", (24, 24))
+    monkeypatch.setattr(near_dedup, "BLOCK", 7)
+    monkeypatch.setattr(near_dedup, "WIDEST", widest)
+    rows = corpus(4, 3, 60, 0.08)
     assert result(spark, rows) == brute(rows)
 
 
