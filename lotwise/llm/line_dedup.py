@@ -73,10 +73,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     kept = F.expr(
         "CASE WHEN left IS NULL THEN text ELSE "
         "array_join(transform(array(split(text, '\\n', -1)), l -> array_join(transform(left, i -> l[i]), '\\n')), '') END")
-    joined = joined.select(
-        "row", kept.alias("text"),
+    # through a generator, so that a filter on the result is not moved below it and computes all this again
+    joined = joined.select("row", F.inline(F.array(F.struct(
+        kept.alias("text"),
         F.expr("coalesce(size(split(text, '\\n', -1)), 0)").alias("n_lines"),
-        F.expr("CASE WHEN left IS NULL THEN 0 ELSE size(split(text, '\\n', -1)) - size(left) END").alias("n_removed"))
+        F.expr("CASE WHEN left IS NULL THEN 0 ELSE size(split(text, '\\n', -1)) - size(left) END").alias("n_removed")))))
     own = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
     columns = [F.col("text").alias(c) if c == text_col else F.col(f"row.{quoted(c)}").alias(c) for c in own]
     return joined.select(
