@@ -47,7 +47,7 @@ RULES = (
     Rule("stop_words", "n_stop_words", of="n_words", low=0.02, at_least_words=50),
     Rule("bullets", "n_bullet_lines", of="n_lines", high=0.9),
     Rule("ellipses", "n_ellipsis_lines", of="n_lines", high=0.3),
-    Rule("repeated_lines", "n_dup_lines", of="n_lines", high=0.3),
+    Rule("repeated_lines", "n_dup_lines", of="n_lines", high=0.5),
     Rule("shouting", "n_shout_words", of="n_words", high=0.5, at_least_words=10),
 )
 
@@ -76,8 +76,7 @@ def measures(rows: DataFrame) -> DataFrame:
         F.expr(rf"filter(split(text, '{SPACES_SQL}'), w -> w <> '')").alias("words"),
         F.expr(rf"filter(split(text, '\n', -1), l -> l rlike '[^\\x20\\x09-\\x0D]')").alias("lines"),
         F.filter(F.split(ascii_lower(F.col("text")), r"[^\p{L}]+"), lambda w: w != "").alias("letters"))
-    return rows.select(
-        "key",
+    counts = F.struct(
         F.expr("size(words)").alias("n_words"),
         F.length(F.array_join("words", "")).alias("word_chars"),
         (F.length("text") - F.length(F.translate("text", "#*$%&|<>", ""))).alias("n_symbols"),
@@ -90,6 +89,8 @@ def measures(rows: DataFrame) -> DataFrame:
         F.expr(_count("lines", r"x rlike '^[\\x20\\x09-\\x0D]*[-*•]'")).alias("n_bullet_lines"),
         F.expr(_count("lines", r"x rlike '(\\.\\.\\.|…)[\\x20\\x09-\\x0D]*$'")).alias("n_ellipsis_lines"),
     )
+    # through a generator, so that a filter on the result is not moved below it and splits the text again for every count
+    return rows.select("key", F.inline(F.array(counts)))
 
 
 def fails(rule: Rule) -> Column:
