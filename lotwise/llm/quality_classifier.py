@@ -64,8 +64,11 @@ def features(rows: DataFrame) -> DataFrame:
         F.size(F.array_distinct("_words")) / words,
         1 - F.size(F.array_distinct("_lines")) / F.greatest(F.size("_lines"), F.lit(1)),
     )
+    # through a generator: a filter on what is computed from the features is not moved
+    # below it, where it would split the text again for each of them
     return rows.select(
-        *[c for c in rows.columns if c not in ("text", "_words", "_lines")], F.array(*[v.cast("double") for v in x]).alias("x"))
+        *[c for c in rows.columns if c not in ("text", "_words", "_lines")],
+        F.explode(F.array(F.array(*[v.cast("double") for v in x]))).alias("x"))
 
 
 @dataclass(frozen=True)
@@ -152,7 +155,4 @@ def classify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 def accepted(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that score at least ``CUT``, with their columns."""
     rows = docs.select(whole_row(docs).alias("row"), F.col(quoted(text_col)).alias("text"))
-    # a filter would be pushed below the projections and repeat them for every feature;
-    # rows of an empty array disappear just as well
-    passing = F.filter(F.array(model.score(F.col("x"))), lambda score: score >= CUT)
-    return features(rows).select("row", F.explode(passing)).select("row.*")
+    return features(rows).where(model.score(F.col("x")) >= CUT).select("row.*")
