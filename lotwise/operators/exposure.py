@@ -182,9 +182,14 @@ def peaks(
         F.max("peak").alias("max_total_lots"), *[F.min_by(c, "first_id").alias(c) for c in HOLDER])
 
 
-def max_exposure(trades: DataFrame, limits=K.EXPOSURE_LIMITS, **options) -> DataFrame:
-    """(login, asset_class) with its largest live exposure, in lots, see ``peaks``."""
-    found = peaks(exposure_legs(trades, limits), **options)
+def max_exposure(trades: DataFrame, limits=K.EXPOSURE_LIMITS, stage=None, **options) -> DataFrame:
+    """(login, asset_class) with its largest live exposure, in lots, see ``peaks``.
+
+    ``stage`` may store the narrow legs, as ``lineage.stored`` does, so that the
+    trades themselves are read once; without it, nothing runs yet.
+    """
+    legs = exposure_legs(trades, limits)
+    found = peaks(stage(legs, "exposure-legs") if stage else legs, **options)
     lots = F.col("max_total_lots").cast("decimal(20,0)") / LOT_UNITS
     return found.withColumn("max_total_lots", lots.cast(f"decimal(26,{LOTS.scale})"))
 

@@ -15,7 +15,7 @@ COLUMNS = ["login", "max_total_lots", "equity", "package_type", "breachedby", "p
 def class_exposure(trades: DataFrame, asset_class: str, limits=K.EXPOSURE_LIMITS, **options) -> DataFrame:
     """Breaching logins of one asset class."""
     only = {asset_class: limits[asset_class]}
-    return exposure_breaches(trades, only, **options).select(*COLUMNS)
+    return exposure_breaches(trades, only, stage=stored, **options).select(*COLUMNS)
 
 
 def exposure_combined(trades: DataFrame, limits=K.EXPOSURE_LIMITS, **options) -> DataFrame:
@@ -23,7 +23,7 @@ def exposure_combined(trades: DataFrame, limits=K.EXPOSURE_LIMITS, **options) ->
     class, in login order, shares row n. Logins in one row are unrelated.
 
     Numbering reads the breaching logins several times, so they are stored first."""
-    breaches = stored(exposure_breaches(trades, limits, **options), "exposure-breaches")
+    breaches = stored(exposure_breaches(trades, limits, stage=stored, **options), "exposure-breaches")
     numbered = number_rows(breaches, "asset_class", "login")
     cells = [
         # one row per class and position, so any aggregate picks it
