@@ -1,14 +1,15 @@
 """Scoring by cross-entropy difference of two matched n-gram language models.
 
 The target model counts the words and word pairs of the target documents, the
-background model those of all documents. Both share one vocabulary: words are
-hashed to 2^VOCABULARY_BITS ids and pairs to 2^PAIR_BITS cells, so the models have
-a fixed size however large the corpus is. They have the same smoothing, and the
-background counts are scaled to the size of the target, so that smoothing weighs
-alike. A document's score is the mean over its tokens of the target's loss minus
-the background's loss; lower means closer to the target.
-
-Every task counts its documents into arrays and gives its cells to one aggregation.
+background model those of all documents. Counts are kept for every word and every
+pair under its full 64-bit hash, so the models grow with the corpus. They have the
+same smoothing, and the background counts are scaled to the size of the target, so
+that smoothing weighs alike. A document's score is the mean over its tokens of the
+target's loss minus the background's loss; lower means closer to the target.
+
+Tasks turn documents into batches of word numbers. Each batch sends its distinct
+words and pairs, cut by ranges of their hashes, to be counted over all batches, gets
+back the counts of just these, and scores its documents with them.
 """
 
 from __future__ import annotations
@@ -18,150 +19,252 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from lotwise.llm.common import map_arrow, merge_join, quoted
+from lotwise.llm.common import map_arrow, merge_join, quoted, stored
 
-VOCABULARY_BITS = 17
-PAIR_BITS = 21
+VOCABULARY_BITS = 17  # smoothing reckons with 2^17 - 1 words, or with all if there are more
 PAIR_WEIGHT = 0.7  # of the pair estimate against the single word's
 ADDED = 0.5  # to every word's count
-_REMEMBERED = 300_000
+BATCH_TOKENS = 1 << 20
+BATCH_WORDS = 1 << 19
+SCORED_TOKENS = 1 << 16  # at once
+RANGE_TOKENS = 1 << 22  # tokens of the corpus for each range of pair hashes
+LEAST_BITS = 8
+_WORDS_FEWER = 4  # bits, as there are fewer words than pairs
 
 
-class WordIds(dict):
-    """Ids of words from 1; 0 starts a document."""
+def squeezed(values: np.ndarray) -> bytes:
+    """Non-negative integers, byte by byte of equal rank."""
+    values = np.ascontiguousarray(values, np.uint64)
+    width = max(1, (int(values.max(initial=0)).bit_length() + 7) // 8)
+    ranks = values.view(np.uint8).reshape(-1, 8)[:, :width].T
+    return bytes([width]) + zstandard.compress(ranks.tobytes(), 1)
 
-    def __init__(self, bits: int):
-        super().__init__()
-        self.cells = (1 << bits) - 1
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= _REMEMBERED:
-            self.clear()
-        value = self[word] = 1 + xxhash.xxh3_64_intdigest(word) % self.cells
-        return value
+def expanded(data: bytes) -> np.ndarray:
+    width = data[0]
+    ranks = np.frombuffer(zstandard.decompress(data[1:]), np.uint8).reshape(width, -1)
+    out = np.zeros((ranks.shape[1], 8), np.uint8)
+    out[:, :width] = ranks.T
+    return out.view(np.uint64).ravel()
 
 
-def tokens(text: bytes | None, ids: WordIds) -> np.ndarray:
-    words = text.lower().split() if text else []
-    return np.array([0, *map(ids.__getitem__, words)], np.uint64)
+def grouped(codes: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct codes, the place of each code among them, and how often each occurs; all are below ``top``."""
+    bits = len(codes).bit_length()
+    if top << bits < 1 << 63:  # values sort faster than places
+        both = np.sort(codes << bits | np.arange(len(codes)))
+        order, codes = both & ((1 << bits) - 1), both >> bits
+    else:
+        order = np.argsort(codes, kind="stable")
+        codes = codes[order]
+    first = np.ones(len(codes), bool)
+    first[1:] = codes[1:] != codes[:-1]
+    starts = np.flatnonzero(first)
+    place = np.empty(len(codes), np.int32 if len(codes) < 1 << 31 else np.int64)
+    place[order] = np.cumsum(first) - 1
+    return codes[starts], place, np.diff(np.append(starts, len(codes)))
 
 
-def pair_cells(own: np.ndarray, bits: int) -> np.ndarray:
-    mixed = (own[:-1] * np.uint64(0x9E3779B97F4A7C15) + own[1:]) * np.uint64(0xC2B2AE3D27D4EB4F)
-    return (mixed >> np.uint64(64 - bits)).astype(np.int64)
+def pair_hashes(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    mixed = (one ^ (one >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + two
+    for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
+        mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
+    return mixed ^ (mixed >> np.uint64(33))
 
 
-def _count(vocabulary_bits: int, pair_bits: int):
-    """Cells of this task: words from 0, pairs behind them; counts in target documents and in all."""
+_PACKED = "batch bigint, doc_ids array<bigint>, lengths array<bigint>, ids binary, words binary"
+
+
+def _pack(most_tokens: int, most_words: int):
+    """Documents as numbers of words, which count from 1 in each batch, and the hashes of these words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = WordIds(vocabulary_bits)
-        words = 1 << vocabulary_bits
-        counts = np.zeros((2, words + (1 << pair_bits)), np.int64)
+        from pyspark import TaskContext
+
+        number = TaskContext.get().partitionId() << 32
+        known: dict[bytes, int] = {}
+        doc_ids: list = []
+        ids: list[np.ndarray] = []
+        n_tokens = 0
+
+        def packed() -> pa.RecordBatch:
+            words = np.fromiter(map(xxhash.xxh3_64_intdigest, known), np.uint64, len(known))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([number], pa.int64()), pa.array([doc_ids], pa.list_(pa.int64())),
+                 pa.array([[len(i) for i in ids]], pa.list_(pa.int64())),
+                 pa.array([squeezed(np.concatenate(ids))], pa.binary()), pa.array([words.tobytes()], pa.binary())],
+                ["batch", "doc_ids", "lengths", "ids", "words"])
+
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            for text, target in zip(texts, batch.column("target").to_pylist(), strict=True):
-                own = tokens(text, ids)
-                cells = np.concatenate([own[1:].astype(np.int64), words + pair_cells(own, pair_bits), [0] * (len(own) > 1)]).astype(np.int64)
-                cell, n = np.unique(cells, return_counts=True)
-                counts[1, cell] += n
-                if target:
-                    counts[0, cell] += n
-        used = np.flatnonzero(counts[1])
-        for at in range(0, len(used), 100_000):
-            part = used[at:at + 100_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part, pa.int32()), pa.array(counts[0, part]), pa.array(counts[1, part])], ["cell", "target", "all"])
+            texts = batch.column("text").cast(pa.binary())
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts, strict=True):
+                words = (text.as_py() or b"").lower().split()
+                doc_ids.append(doc_id)
+                ids.append(np.array([known.setdefault(w, len(known) + 1) for w in words], np.uint32))
+                n_tokens += len(words)
+                if n_tokens >= most_tokens or len(known) >= most_words or len(ids) >= most_tokens // 8:
+                    yield packed()
+                    known, doc_ids, ids, n_tokens = {}, [], [], 0
+                    number += 1
+        if ids:
+            yield packed()
 
     return run
 
 
-class Models:
-    """Both models as arrays over the shared cells."""
-
-    def __init__(self, cell: np.ndarray, target: np.ndarray, background: np.ndarray,
-                 vocabulary_bits: int = VOCABULARY_BITS, pair_bits: int = PAIR_BITS):
-        self.vocabulary_bits, self.pair_bits = vocabulary_bits, pair_bits
-        words = 1 << vocabulary_bits
-        self.single, self.pair, sizes = [], [], []
-        for counts in (target, background):
-            dense = np.zeros(words + (1 << pair_bits), np.float32)
-            dense[cell] = counts
-            sizes.append(float(dense[1:words].sum(dtype=np.float64)))
-            self.single.append(dense[:words])
-            self.pair.append(dense[words:])
-        self.total = sizes[0]
-        self.scale = (1.0, sizes[0] / sizes[1] if sizes[1] else 1.0)
-
-    def losses(self, own: np.ndarray) -> tuple[float, float, float]:
-        """Sum over tokens of minus the logarithm of the probability: by the target if the document
-        belongs to it, by the target if not, and by the background.
-
-        What the document itself has added to a model is taken out of it.
-        """
-        before, word, cells = own[:-1].astype(np.int64), own[1:].astype(np.int64), pair_cells(own, self.pair_bits)
-        own_word, own_pair, own_before = _uses(word), _uses(cells), _uses(own.astype(np.int64))[:-1]
-        vocabulary = (1 << self.vocabulary_bits) - 1
-        out = []
-        for model, added in ((0, 1), (0, 0), (1, 1)):
-            single, pair, scale = self.single[model], self.pair[model], self.scale[model]
-            alone = np.maximum(single[word] - added * own_word, 0) * scale + ADDED
-            alone /= max(self.total - added * len(word) * scale, 0) + ADDED * vocabulary
-            context = np.maximum(single[before] - added * own_before, 0).astype(float)
-            share = np.divide(pair[cells] - added * own_pair, context, out=np.zeros(len(cells)), where=context > 0)
-            p = np.where(context > 0, PAIR_WEIGHT * np.clip(share, 0, 1) + (1 - PAIR_WEIGHT) * alone, alone)
-            out.append(float(-np.log(p).sum()))
-        return out[0], out[1], out[2]
-
-
-def _uses(values: np.ndarray) -> np.ndarray:
-    """How often each value occurs, at every place of it."""
-    _, place, n = np.unique(values, return_inverse=True, return_counts=True)
-    return n[place]
-
-
-_LOSSES = "doc_id bigint, n_tokens bigint, inside double, outside double, background double"
-
-
-def _score(models):
+class Batch:
+    """The words of a batch and their pairs; number 0 starts a document."""
+
+    def __init__(self, row: dict):
+        self.lengths = np.array(row["lengths"], np.int64)
+        self.hashes = np.concatenate([np.zeros(1, np.uint64), np.frombuffer(row["words"], np.uint64)])
+        self.word = expanded(row["ids"]).astype(np.int32)
+        self.doc = np.repeat(np.arange(len(self.lengths), dtype=np.int32), self.lengths)
+        self.before = np.zeros_like(self.word)
+        self.before[1:] = np.where(self.doc[1:] == self.doc[:-1], self.word[:-1], 0)
+        n = len(self.hashes)
+        codes, self.pair, _ = grouped(self.before.astype(np.int64) * n + self.word, n * n)
+        self.pairs = pair_hashes(self.hashes[codes // n], self.hashes[codes % n])
+        self.inside = np.zeros(len(self.lengths), bool)
+        self.inside[np.array(row["members"] or [], np.int64)] = True
+
+    def ranges(self, bits: int) -> Iterator[tuple[int, bool, np.ndarray]]:
+        """Number, whether of words, and members in the order of their hashes, of every range that has some."""
+        word_bits = max(0, bits - _WORDS_FEWER)
+        for words, hashes, cut, least in ((False, self.pairs, bits, 0), (True, self.hashes[1:], word_bits, 1 << bits)):
+            order = np.argsort(hashes)
+            ends = np.searchsorted(hashes[order], np.arange(1, 1 << cut, dtype=np.uint64) << np.uint64(64 - cut)) if cut else []
+            for at, members in enumerate(np.split(order, ends)):
+                if len(members):
+                    yield least + at, words, members
+
+
+_KEYS = "range int, batch bigint, n bigint, keys binary, target binary, all binary"
+
+
+def _keys(bits: int):
+    """Distinct words and pairs of each batch with their counts in target documents and in all, by range."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both: Models = models.value
-        ids = WordIds(both.vocabulary_bits)
         for batch in batches:
-            n_tokens, losses = [], []
-            for text in batch.column("text").cast(pa.binary()).to_pylist():
-                own = tokens(text, ids)
-                n_tokens.append(len(own) - 1)
-                losses.append(both.losses(own) if len(own) > 1 else (0.0, 0.0, 0.0))
-            n = np.array(n_tokens, np.int64)
-            means = np.array(losses, float).reshape(-1, 3).T / np.maximum(n, 1)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n), *[pa.array(m) for m in means]],
-                ["doc_id", "n_tokens", "inside", "outside", "background"])
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                own, out = Batch(row), []
+                inside = own.inside[own.doc]
+                counts = {}
+                for words, places, n in ((False, own.pair, len(own.pairs)), (True, own.word - 1, len(own.hashes) - 1)):
+                    counts[words] = np.bincount(places[inside], minlength=n), np.bincount(places, minlength=n)
+                for at, words, members in own.ranges(bits):
+                    keys = (own.hashes[1:] if words else own.pairs)[members]
+                    steps = np.diff(keys, prepend=np.uint64(0))
+                    target, total = (c[members] for c in counts[words])
+                    # the first key apart, so that the steps stay narrow
+                    out.append((at, row["batch"], len(keys), keys[:1].tobytes() + squeezed(steps[1:]), squeezed(target), squeezed(total)))
+                if out:
+                    types = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t) for c, t in zip(zip(*out), types, strict=True)], ["range", "batch", "n", "keys", "target", "all"])
 
     return run
 
 
-def marked(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
-    """``docs`` with ``target``, whether the document belongs to the target."""
-    wanted = target_ids.select(F.col("doc_id").alias("of")).distinct()
-    both = merge_join(docs, wanted, F.col("doc_id") == F.col("of"), "left")
-    return both.withColumn("target", F.col("of").isNotNull()).drop("of")
+_COUNTS = "range int, batch bigint, distinct bigint, target binary, all binary"
 
 
-def fit(rows: DataFrame, vocabulary_bits: int = VOCABULARY_BITS, pair_bits: int = PAIR_BITS) -> Models:
-    """Count all marked documents, those of the target also for the target."""
-    cells = map_arrow(rows.select("text", "target"), _count(vocabulary_bits, pair_bits), "cell int, target bigint, all bigint")
-    cells = cells.groupBy("cell").agg(F.sum("target").alias("target"), F.sum("all").alias("all"))
-    # a row for each cell at most, whatever the size of the corpus
-    found = cells.toArrow()
-    return Models(*(found.column(c).to_numpy() for c in ("cell", "target", "all")), vocabulary_bits, pair_bits)
+def _sums(rows: pa.Table) -> pa.Table:
+    """Counts over all batches for every key of each batch, in the batch's order; the first row has the distinct keys."""
+    keys = []
+    for data in rows.column("keys").to_pylist():
+        keys.append(np.cumsum(np.concatenate([np.frombuffer(data[:8], np.uint64), expanded(data[8:])]), dtype=np.uint64))
+    found, place = np.unique(np.concatenate(keys), return_inverse=True)
+    ends = np.cumsum([len(k) for k in keys])[:-1]
+    del keys
+    out = {}
+    for name in ("target", "all"):
+        own = np.concatenate([expanded(data) for data in rows.column(name).to_pylist()])
+        sums = np.bincount(place, weights=own, minlength=len(found)).astype(np.uint64)
+        out[name] = [squeezed(part) for part in np.split(sums[place], ends)]
+    return pa.table({
+        "range": rows.column("range"), "batch": rows.column("batch"),
+        "distinct": pa.array([len(found)] + [0] * (rows.num_rows - 1), pa.int64()),
+        "target": pa.array(out["target"], pa.binary()), "all": pa.array(out["all"], pa.binary())})
+
+
+def _losses(own: Batch, word: np.ndarray, pair: np.ndarray, sizes, vocabulary: int) -> np.ndarray:
+    """For each document the sum over its tokens of minus the logarithm of the probability, by both models.
+
+    Rows of ``word`` and ``pair`` are the counts in target documents and in all, the
+    first word being the start. What the document itself has added to a model is taken
+    out of it.
+    """
+    out = np.zeros((2, len(own.lengths)))
+    ends = np.cumsum(own.lengths)
+    first = 0
+    while first < len(ends):
+        # whole documents, at least one
+        begin = ends[first] - own.lengths[first]
+        last = max(first + 1, int(np.searchsorted(ends, begin + SCORED_TOKENS, "right")))
+        at, lengths = slice(begin, ends[last - 1]), own.lengths[first:last]
+        doc, words, before, pairs = own.doc[at].astype(np.int64) - first, own.word[at], own.before[at], own.pair[at]
+        _, place, uses = grouped(doc * word.shape[1] + words, len(lengths) * word.shape[1])
+        own_word = uses[place]
+        # the same word one place later, or the document's one start
+        own_before = np.ones_like(own_word)
+        own_before[1:] = np.where(before[1:] > 0, own_word[:-1], 1)
+        _, place, uses = grouped(doc * pair.shape[1] + pairs, len(lengths) * max(1, pair.shape[1]))
+        own_pair = uses[place]
+        for model, scale in ((0, 1.0), (1, sizes[0] / sizes[1] if sizes[1] else 1.0)):
+            added = np.ones(len(lengths), np.int64) if model else own.inside[first:last].astype(np.int64)
+            each = added[doc]
+            alone = (word[model][words] - each * own_word) * scale + ADDED
+            total = np.maximum(sizes[0] - added * lengths * scale, 0) + ADDED * vocabulary
+            alone /= total[doc]
+            context = word[model][before] - each * own_before
+            share = np.divide(pair[model][pairs] - each * own_pair, context, out=np.zeros(len(context)), where=context > 0)
+            p = np.where(context > 0, PAIR_WEIGHT * share + (1 - PAIR_WEIGHT) * alone, alone)
+            out[model, first:last] = np.bincount(doc, weights=-np.log(p), minlength=len(lengths))
+        first = last
+    return out
+
+
+_SCORES = "doc_id bigint, n_tokens bigint, target_loss double, background_loss double, score double"
+
+
+def _score(bits: int, sizes: tuple[int, int], starts: tuple[int, int], vocabulary: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                own = Batch(row)
+                word, pair = np.zeros((2, len(own.hashes)), np.int64), np.zeros((2, len(own.pairs)), np.int64)
+                word[:, 0] = starts
+                found = {c["range"]: c for c in row["counts"] or []}
+                for at, words, members in own.ranges(bits):
+                    for model, name in enumerate(("target", "all")):
+                        (word if words else pair)[model, members + words] = expanded(found[at][name])
+                target, background = (x / np.maximum(own.lengths, 1) for x in _losses(own, word, pair, sizes, vocabulary))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(row["doc_ids"], pa.int64()), *map(pa.array, (own.lengths, target, background, target - background))],
+                    ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+
+    return run
+
+
+def members(packed: DataFrame, target_ids: DataFrame) -> DataFrame:
+    """Of each batch the places of its documents that belong to the target, how many have tokens, and their tokens."""
+    wanted = target_ids.select(F.col("doc_id").alias("of")).distinct()
+    docs = packed.select("batch", F.posexplode(F.arrays_zip("doc_ids", "lengths")).alias("at", "doc"))
+    docs = docs.select("batch", "at", F.col("doc.doc_ids").alias("doc_id"), F.col("doc.lengths").alias("length"))
+    found = merge_join(docs, wanted, F.col("doc_id") == F.col("of"))
+    return found.groupBy("batch").agg(
+        F.collect_list("at").alias("members"), F.sum((F.col("length") > 0).cast("long")).alias("starts"), F.sum("length").alias("tokens"))
 
 
 def score_documents(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    vocabulary_bits: int = VOCABULARY_BITS, pair_bits: int = PAIR_BITS) -> DataFrame:
+                    vocabulary_bits: int = VOCABULARY_BITS) -> DataFrame:
     """``doc_id``, ``n_tokens``, both mean losses and their difference ``score`` for every row.
 
     Words are runs without ASCII white space after A-Z have been lowered. A document
@@ -171,10 +274,21 @@ def score_documents(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_i
     losses come from smoothing alone. Other columns are not read.
     """
     rows = docs.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), F.col(quoted(text_col)).alias("text"))
-    models = docs.sparkSession.sparkContext.broadcast(fit(marked(rows, target_ids), vocabulary_bits, pair_bits))
-    # scored both as a part of the target and not, so that only the scores meet the labels
-    scored = marked(map_arrow(rows, _score(models), _LOSSES), target_ids)
-    target = F.when(F.col("target"), F.col("inside")).otherwise(F.col("outside"))
-    return scored.select(
-        "doc_id", "n_tokens", target.alias("target_loss"), F.col("background").alias("background_loss"),
-        (target - F.col("background")).alias("score"))
+    packed = stored(map_arrow(rows, _pack(BATCH_TOKENS, BATCH_WORDS), _PACKED), "packed")
+    inside = stored(members(packed, target_ids), "members")
+    each = packed.select(F.explode("lengths").alias("length"))
+    n_all, n_starts = each.agg(F.coalesce(F.sum("length"), F.lit(0)), F.count(F.when(F.col("length") > 0, 1))).first()
+    n_target, n_target_starts = inside.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("starts"), F.lit(0))).first()
+    bits = max(LEAST_BITS, (n_all // RANGE_TOKENS).bit_length())
+
+    of = inside.select(F.col("batch").alias("of"), "members")
+    keyed = merge_join(packed, of, F.col("batch") == F.col("of"), "left").select("batch", "lengths", "ids", "words", "members")
+    keys = map_arrow(keyed, _keys(bits), _KEYS)
+    counts = stored(keys.groupBy("range").applyInArrow(_sums, _COUNTS), "counts")
+    distinct = counts.where(F.col("range") >= 1 << bits).agg(F.coalesce(F.sum("distinct"), F.lit(0))).first()[0]
+    vocabulary = max((1 << vocabulary_bits) - 1, distinct)
+
+    back = counts.groupBy(F.col("batch").alias("to")).agg(F.collect_list(F.struct("range", "target", "all")).alias("counts"))
+    ready = merge_join(merge_join(packed, of, F.col("batch") == F.col("of"), "left"), back, F.col("batch") == F.col("to"), "left")
+    score = _score(bits, (n_target, n_all), (n_target_starts, n_starts), vocabulary)
+    return map_arrow(ready.select("doc_ids", "lengths", "ids", "words", "members", "counts"), score, _SCORES)

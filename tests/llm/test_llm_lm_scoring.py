@@ -67,3 +67,25 @@ def test_no_target_no_documents_and_nulls(spark):
     got = lm.score_documents(documents(spark, [(None, "a b"), (1, "a b"), (1, "a b")]), spark.createDataFrame([(1,), (1,), (None,)], "doc_id bigint"))
     assert sorted(str(r.doc_id) for r in got.collect()) == ["1", "1", "None"]
     assert len({r.score for r in got.collect() if r.doc_id == 1}) == 1
+
+
+def test_whole_table_against_dictionaries(spark):
+    # more words and pairs than a table of hashed cells could hold apart
+    path = "/root/testdata/sf0.01"
+    rows = [tuple(r) for r in spark.read.parquet(f"{path}/documents.parquet").select("doc_id", "text").collect()]
+    target = {r.doc_id for r in spark.read.parquet(f"{path}/labels.parquet").where("quality = 1").collect()}
+    close(result(spark, rows, target), brute(rows, target))
+
+
+def test_batches_and_ranges_count_together(spark, monkeypatch):
+    for batch_tokens, range_tokens in ((8, 1 << 22), (1 << 21, 1)):
+        monkeypatch.setattr(lm, "BATCH_TOKENS", batch_tokens)
+        monkeypatch.setattr(lm, "RANGE_TOKENS", range_tokens)
+        close(result(spark, ROWS, {0, 1, 2, 52}), brute(ROWS, {0, 1, 2, 52}))
+
+
+def test_smoothing_reckons_with_all_words(spark):
+    rows = documents(spark, [(1, "a b c d e"), (2, "f")])
+    got = lm.score_documents(rows, spark.createDataFrame([(2,)], "doc_id bigint"), vocabulary_bits=1)
+    # six words though the least is one; the target model has no other text than "f", which is its own
+    assert {r.doc_id: r.target_loss for r in got.collect()}[2] == pytest.approx(math.log(6))
