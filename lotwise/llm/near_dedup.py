@@ -218,11 +218,22 @@ def shared_at_least(listed: int, percent: int) -> int:
     return listed
 
 
+def shared_by_size(widest: int, percent: int) -> list[int]:
+    """The same for every number of smallest values up to ``widest``, from 0."""
+    p, exactly, found = percent / 100, np.zeros(widest + 2), [0]
+    exactly[0] = 1
+    for _ in range(widest):
+        exactly[1:] = exactly[1:] * (1 - p) + exactly[:-1] * p
+        exactly[0] *= 1 - p
+        found.append(int(np.argmax(np.cumsum(exactly) > MISSED)))
+    return found
+
+
 class _Level:
-    """Inverted lists over the ``listed`` smallest values of some classes (rep, n, sketch)."""
+    """Inverted lists over the ``listed`` smallest values of some classes (rep, n, sketch of up to ``widest``)."""
 
-    def __init__(self, classes: DataFrame, listed: int, percent: int):
-        self.classes, self.percent = classes, percent
+    def __init__(self, classes: DataFrame, listed: int, percent: int, widest: int):
+        self.classes, self.percent, self.widest = classes, percent, widest
         self.enough = shared_at_least(listed, percent)
         values = classes.select("rep", "n", F.posexplode(F.slice("sketch", 1, listed)).alias("place", "value"))
         shared = stored(values.groupBy("value").agg(F.count("*").alias("df")).where("df > 1"), "shared-values")
@@ -273,10 +284,8 @@ class _Level:
         union = F.sort_array(F.array_union("sketch_a", "sketch_b"))
         union = F.slice(union, 1, F.least(F.size(union), F.greatest(F.size("sketch_a"), F.size("sketch_b"))))
         common = F.array_intersect(F.array_intersect("sketch_a", "sketch_b"), union)
-        # five standard deviations below the threshold
-        alike = self.percent / 100
-        margin = 5 * F.sqrt(F.lit(alike * (1 - alike)) / F.size(union))
-        return both.where(F.size(common) >= F.size(union) * (alike - margin)).select("a", "b")
+        enough = F.array(*map(F.lit, shared_by_size(self.widest, self.percent)))
+        return both.where(F.size(common) >= F.get(enough, F.size(union))).select("a", "b")
 
 
 _SPREAD = "10000000000000000000"
@@ -322,7 +331,7 @@ class _Search:
 
     def labels(self) -> DataFrame:
         """Component of every class that has a link."""
-        first = _Level(self.classes, LISTED[0], self.percent)
+        first = _Level(self.classes, LISTED[0], self.percent, SKETCH)
         candidates = stored(first.likely(first.overlaps().unionByName(first.hub_pairs())), "candidates")
         left = stored(first.left.select(F.col("rep").alias("of")), "left")
         self.fetch_texts(candidates.select(F.explode(F.array("a", "b")).alias("rep")).unionByName(left.select(F.col("of").alias("rep"))))
@@ -330,7 +339,7 @@ class _Search:
             return components(self.confirmed(candidates))
         # classes that may be alike through hot values only: more values tell them apart
         classes = self.resketched(left, WIDEST)
-        second = _Level(classes, LISTED[1], self.percent)
+        second = _Level(classes, LISTED[1], self.percent, WIDEST)
         links = self.confirmed(candidates.unionByName(second.likely(second.overlaps())).distinct())
         labels = components(links)
         left = merge_join(second.left.select(F.col("rep").alias("of")), labels, F.col("of") == F.col("node"), "left")

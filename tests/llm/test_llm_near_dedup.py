@@ -120,3 +120,14 @@ def test_components_of_chains_and_stars(spark):
     rng.shuffle(links)
     got = {r.node: r.label for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
     assert got == {i: 100 for i in range(100, 161)} | {i: 500 for i in range(500, 560)} | {899: 899, 900: 899}
+
+
+def test_union_sketches_lose_no_more_than_lists(spark):
+    found = near_dedup.shared_by_size(1024, 75)
+    assert [max(found[n], 1) for n in range(1, 120)] == [near_dedup.shared_at_least(n, 75) for n in range(1, 120)]
+    # at 48 values fewer than 19 in common are as rare as MISSED says
+    for common, kept in ((18, []), (19, [(1, 2)]), (20, [(1, 2)])):
+        rows = [(c, 200, [*range(common), *(100 + 2 * x + c for x in range(48 - common))]) for c in (1, 2)]
+        level = near_dedup._Level(spark.createDataFrame(rows, "rep bigint, n int, sketch array<bigint>"), 24, 75, 48)
+        pairs = spark.createDataFrame([(1, 2)], "rep_a bigint, rep_b bigint")
+        assert [tuple(r) for r in level.likely(pairs).collect()] == kept
