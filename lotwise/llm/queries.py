@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lotwise.llm import chat_format, decontaminate, license_scan, line_dedup, lm_scoring, near_dedup, packing, quality_classifier, quality_rules, url_filter
+from lotwise.llm import (
+    alignment, chat_format, collocations, decontaminate, license_scan, line_dedup, lm_scoring, near_dedup, neighbours, packing,
+    quality_classifier, quality_rules, url_filter)
 from lotwise.llm.common import table
 
 
@@ -58,6 +60,18 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(table(spark, sf_dir, "pages"))
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_line_dedup,
@@ -70,6 +84,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_best_fit_packing,
         op9_decontaminate,
         op10_url_filter,
+        op11_phrase_mining,
+        op12_token_alignment,
+        op13_nearest_neighbours,
     )
 }
 
@@ -81,4 +98,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_chat_format": chat_format.ORACLE_SQL,
         "op9_decontaminate": decontaminate.ORACLE_SQL,
         "op10_url_filter": url_filter.ORACLE_SQL,
+        "op11_phrase_mining": collocations.ORACLE_SQL,
     }
