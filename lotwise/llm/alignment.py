@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from lotwise.llm.batches import answered, exploded
-from lotwise.llm.common import map_arrow, merge_join, quoted, stored
+from lotwise.llm.common import map_arrow, quoted, stored
 from lotwise.llm.packing import token_ids
 
 A_VOCABULARY = "byte_bpe_50k.json"
@@ -243,6 +243,6 @@ def align(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", a_voc
     highest = sums.groupBy(F.col("b").alias("of_b")).agg(F.max("n").alias("highest"))
     known = sums.join(highest, F.col("b") == F.col("of_b")).select(
         F.col("pairs").alias("pair"), "n", (F.col("n") == F.col("highest")).cast("int").alias("best"))
-    answers = merge_join(asked.select("batch", "at", "pairs"), known, F.col("pairs") == F.col("pair")).select("batch", "at", "n", "best")
-    ready = answered(chunks.withColumn("n_pairs", F.size("pairs")).drop("pairs", "counts"), answers, "n", "best")
+    asking = chunks.withColumn("n_pairs", F.size("pairs")).drop("pairs", "counts")
+    ready = answered(asking, asked.select("batch", "at", "pairs"), known, F.col("pairs") == F.col("pair"), "n", "best")
     return map_arrow(ready, _scored, _RESULT)

@@ -6,7 +6,7 @@ them. Its keys cross the network once a batch, not once an occurrence.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lotwise.llm.common import merge_join
 
@@ -18,11 +18,13 @@ def exploded(batches: DataFrame, *arrays: str) -> DataFrame:
     return rows.select(*others, "at", *[F.col(f"entry.{a}").alias(a) for a in arrays])
 
 
-def answered(batches: DataFrame, answers: DataFrame, *values: str) -> DataFrame:
+def answered(batches: DataFrame, asked: DataFrame, known: DataFrame, on: Column, *values: str) -> DataFrame:
     """Batches with ``answers``, an array of structs (at, values…), null if none of their keys has any.
 
-    ``answers`` has rows of ``batch``, ``at`` and the values: at most one for a key of a batch, so the array is no
-    longer than the batch's keys.
+    ``asked`` has a row of ``batch`` and ``at`` for each key of a batch, ``known`` a row of ``values``, not null, for a key at
+    most. So the join has a row for each key asked, however many are known, and an array is no longer than the batch's keys.
     """
-    back = answers.groupBy(F.col("batch").alias("to")).agg(F.collect_list(F.struct("at", *values)).alias("answers"))
+    found = merge_join(asked, known, on, "left")
+    answer = F.when(F.col(values[0]).isNotNull(), F.struct("at", *values))
+    back = found.groupBy(F.col("batch").alias("to")).agg(F.collect_list(answer).alias("answers"))
     return merge_join(batches, back, F.col("batch") == F.col("to"), "left").drop("to")

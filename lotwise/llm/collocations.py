@@ -329,7 +329,7 @@ def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
 
     known = vocabulary.select(F.col("lang").alias("id_lang"), F.col("word").alias("id_word"), "id")
     same = (F.col("lang") == F.col("id_lang")) & (F.col("word") == F.col("id_word"))
-    ready = answered(batches, merge_join(words, known, same).select("batch", "at", "id"), "id")
+    ready = answered(batches, words.select("batch", "lang", "at", "word"), known, same, "id")
     group = F.pmod(F.xxhash64("batch"), F.lit(1 << step * rounds))
     filters = map_arrow(ready.select("lang", group.alias("at_group"), F.size("words").alias("n_words"), "n_stream", "stream", "answers"),
                         _filters(longest, bits, step), _FILTER)
