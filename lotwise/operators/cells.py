@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lotwise.functions.trades import gain, loss, total
+from lotwise.functions.trades import first_at, gain, loss, total
 from lotwise.schemas import LOTS, MONEY
 
 KEYS = ["login", "symbol", "session", "type_account", "email", "country_name", "breachedby"]
@@ -20,13 +20,20 @@ SUMS = [
 ]
 
 
+MAXIMA = ["max_lot", "max_profit", "lot_trade", "profit_trade"]
+
+
 def _known(column: str):
     return F.col(column).isNotNull().cast("bigint")
 
 
 def as_cells(trades: DataFrame) -> DataFrame:
     """One cell per trade; no shuffle."""
-    return trades.select(
+    return trades.select(*_cell())
+
+
+def _cell() -> list:
+    return [
         *KEYS,
         _known("id").alias("trade_count"),
         F.coalesce("final_lot", F.lit(0).cast(LOTS)).alias("lots"),
@@ -38,7 +45,19 @@ def as_cells(trades: DataFrame) -> DataFrame:
         F.coalesce("swap", F.lit(0).cast(MONEY)).alias("swap"),
         F.col("final_lot").alias("max_lot"),
         F.col("id").alias("first_id"),
+    ]
+
+
+def hour_cells(trades: DataFrame) -> DataFrame:
+    """One cell per trade with the hours of both clocks, the account's balance and numbers that order its top trades."""
+    extra = trades.select(
+        "*",
+        F.hour("open_time").cast("bigint").alias("open_hour"), F.hour("close_time").cast("bigint").alias("close_hour"),
+        F.col("profit").alias("max_profit"),
+        first_at("final_lot", "id").alias("lot_trade"), first_at("profit", "id").alias("profit_trade"),
     )
+    more = ["open_hour", "close_hour", "starting_balance", "equity", *MAXIMA[1:]]
+    return extra.select(*_cell(), *more)
 
 
 def roll_up(cells: DataFrame) -> DataFrame:

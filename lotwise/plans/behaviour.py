@@ -2,36 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from lotwise import constants as K
 from lotwise.functions.clock import is_closed, within_hours
 from lotwise.functions.trades import total
 
+# seconds that a trade is held
+FAST, VERY_FAST, QUICK = 9, 3, 180
 
-def hft_summary(trades: DataFrame, fast: int = 9, very_fast: int = 3, n: int = 20) -> DataFrame:
+
+def _hft_measures(fast: int, very_fast: int) -> list[Column]:
+    """Of an account's trades that close after they open."""
+    forward = F.col("close_time") > F.col("open_time")
+    return [
+        F.count_if(forward & (F.col("holding_time") <= fast)).alias("fast"),
+        F.count_if(forward & (F.col("holding_time") <= very_fast)).alias("very_fast"),
+        F.count_if(forward).alias("forward"),
+        F.min(F.when(forward, F.col("id"))).alias("forward_id"),
+        F.min_by("equity", F.when(forward, F.col("id"))).alias("forward_equity"),
+    ]
+
+
+def hft_summary(trades: DataFrame, fast: int = FAST, very_fast: int = VERY_FAST, n: int = 20) -> DataFrame:
     """Logins with most trades held ``fast`` seconds or less."""
     # The account type is a grouping key first, so that the pass over the
     # trades is a hash aggregate; one row per login and type remains.
-    by_type = (
-        trades.where((F.col("close_time") > F.col("open_time")) & F.col("login").isNotNull())
-        .groupBy("login", "type_account")
-        .agg(
-            F.count_if(F.col("holding_time") <= fast).alias("fast"),
-            F.count_if(F.col("holding_time") <= very_fast).alias("very_fast"),
-            F.count(F.lit(1)).alias("trades"),
-            F.min("id").alias("first_id"),
-            F.min_by("equity", "id").alias("equity"),
-        )
-    )
+    forward = trades.where((F.col("close_time") > F.col("open_time")) & F.col("login").isNotNull())
+    return hft_of(forward.groupBy("login", "type_account").agg(*_hft_measures(fast, very_fast)), fast, very_fast, n)
+
+
+def hft_of(accounts: DataFrame, fast: int = FAST, very_fast: int = VERY_FAST, n: int = 20) -> DataFrame:
+    """The same from rows that add up to logins, with the measures of the same bounds."""
     return (
-        by_type.groupBy("login")
+        accounts.where("forward > 0").groupBy("login")
         .agg(
             F.sum("fast").alias(f"trades_le_{fast}s"),
             F.sum("very_fast").alias(f"trades_le_{very_fast}s"),
-            F.sum("trades").alias("total_trades"),
-            F.min_by("equity", "first_id").cast("double").alias("equity"),
-            F.min_by("type_account", "first_id").alias("type_account"),
+            F.sum("forward").alias("total_trades"),
+            F.min_by("forward_equity", "forward_id").cast("double").alias("equity"),
+            F.min_by("type_account", "forward_id").alias("type_account"),
         )
         .where(F.col(f"trades_le_{fast}s") > 0)
         .withColumn(f"ratio_le_{very_fast}s", F.col(f"trades_le_{very_fast}s") / F.col("total_trades"))
@@ -40,31 +50,70 @@ def hft_summary(trades: DataFrame, fast: int = 9, very_fast: int = 3, n: int = 2
     )
 
 
-def count_in_hours(trades: DataFrame, first: int, last: int, min_count: int = 5) -> DataFrame:
-    """Logins with ``min_count`` or more trades opened and closed in the hours."""
-    return (
-        trades.where(within_hours(first, last) & F.col("login").isNotNull())
-        .groupBy("login")
-        .agg(F.count(F.lit(1)).alias("trade_count"))
-        .where(F.col("trade_count") >= min_count)
-    )
+def _forex_settlement() -> Column:
+    return (F.col("asset_class") == "Forex") & is_closed() & within_hours(0, 1)
+
+
+def _indices_settlement() -> Column:
+    return (F.col("asset_class") == "Indices") & is_closed() & within_hours(1, 2)
+
+
+def _illiquid(pairs=K.LOW_LIQUIDITY_PAIRS) -> Column:
+    watched = F.col("symbol").isin(pairs) & F.col("asset_class").isin(list(K.ASSET_CLASSES))
+    return watched & is_closed() & within_hours(22, 24)
+
+
+def count_where(trades: DataFrame, condition: Column, min_count: int = 5) -> DataFrame:
+    """Logins with ``min_count`` or more trades that meet a condition."""
+    met = trades.where(condition & F.col("login").isNotNull())
+    return often(met.groupBy("login").agg(F.count(F.lit(1)).alias("trade_count")), "trade_count", min_count)
+
+
+def often(accounts: DataFrame, count: str, min_count: int = 5) -> DataFrame:
+    """The same from rows that add up to logins."""
+    return accounts.groupBy("login").agg(F.sum(count).alias("trade_count")).where(F.col("trade_count") >= min_count)
 
 
 def settlement_forex(trades: DataFrame, min_count: int = 5) -> DataFrame:
-    return count_in_hours(trades.where((F.col("asset_class") == "Forex") & is_closed()), 0, 1, min_count)
+    return count_where(trades, _forex_settlement(), min_count)
 
 
 def settlement_indices(trades: DataFrame, min_count: int = 5) -> DataFrame:
-    return count_in_hours(trades.where((F.col("asset_class") == "Indices") & is_closed()), 1, 2, min_count)
+    return count_where(trades, _indices_settlement(), min_count)
 
 
 def ll_hour(trades: DataFrame, min_count: int = 5, pairs=K.LOW_LIQUIDITY_PAIRS) -> DataFrame:
     """Trading of illiquid pairs in the last two hours of the day."""
-    watched = F.col("symbol").isin(pairs) & F.col("asset_class").isin(list(K.ASSET_CLASSES))
-    return count_in_hours(trades.where(watched & is_closed()), 22, 24, min_count)
+    return count_where(trades, _illiquid(pairs), min_count)
 
 
-def arbitrage_traders(trades: DataFrame, fast: int = 180, closed_only: bool = False) -> DataFrame:
+def _held_measures(fast: int) -> list[Column]:
+    return [
+        # in double: a bigint of seconds could overflow on unclosed trades
+        F.sum(F.col("holding_time").cast("double")).alias("held"),
+        F.count("holding_time").alias("held_count"),
+        F.max("holding_time").alias("longest"),
+        F.min("holding_time").alias("shortest"),
+        F.count("id").alias("trade_count"),
+        F.count(F.lit(1)).alias("rows"),
+        total("final_lot").alias("lots"),
+        total("profit").alias("profit"),
+        F.count_if(F.col("holding_time") <= fast).alias("quick"),
+    ]
+
+
+def holder_measures() -> list[Column]:
+    """What the behaviour reports with default bounds need of an account's trades."""
+    return [
+        *_hft_measures(FAST, VERY_FAST),
+        *_held_measures(QUICK),
+        F.count_if(_forex_settlement()).alias("forex_settlement"),
+        F.count_if(_indices_settlement()).alias("indices_settlement"),
+        F.count_if(_illiquid()).alias("illiquid"),
+    ]
+
+
+def arbitrage_traders(trades: DataFrame, fast: int = QUICK, closed_only: bool = False) -> DataFrame:
     """Holding times per (login, email, account type).
 
     ``trades_within_3_min`` counts all fast trades of the login, so its share of
@@ -77,19 +126,14 @@ def arbitrage_traders(trades: DataFrame, fast: int = 180, closed_only: bool = Fa
     group = ["login", "email", "type_account"]
     # Country as a key makes its mode a plain count; the groups above it are
     # then merged from one row per country.
-    by_country = trades.where(F.col("email").isNotNull() & F.col("type_account").isNotNull()).groupBy(
-        *group, "country_name"
-    ).agg(
-        # in double: a bigint of seconds could overflow on unclosed trades
-        F.sum(F.col("holding_time").cast("double")).alias("held"),
-        F.count("holding_time").alias("held_count"),
-        F.max("holding_time").alias("longest"),
-        F.min("holding_time").alias("shortest"),
-        F.count("id").alias("trade_count"),
-        F.count(F.lit(1)).alias("rows"),
-        total("final_lot").alias("lots"),
-        total("profit").alias("profit"),
-    )
+    accounts = trades.groupBy(*group, "country_name").agg(*_held_measures(fast))
+    return arbitrage_of(accounts)
+
+
+def arbitrage_of(accounts: DataFrame) -> DataFrame:
+    """The same from one row per login, email, account type and country."""
+    group = ["login", "email", "type_account"]
+    by_country = accounts.where(F.col("email").isNotNull() & F.col("type_account").isNotNull())
     known_country = F.when(F.col("country_name").isNotNull(), F.struct(-F.col("rows"), F.col("country_name")))
     groups = by_country.groupBy(*group).agg(
         (F.sum("held") / F.sum("held_count") / 60).alias("average_holding_time"),
@@ -100,14 +144,10 @@ def arbitrage_traders(trades: DataFrame, fast: int = 180, closed_only: bool = Fa
         F.sum("profit").cast("double").alias("total_profit"),
         F.min_by("country_name", known_country).alias("country"),
     ).dropna(subset=["average_holding_time", "max_holding_time", "min_holding_time"])
-    quick = (
-        trades.where(F.col("holding_time") <= fast).groupBy("login")
-        .agg(F.count(F.lit(1)).alias("trades_within_3_min"))
-    )
+    quick = accounts.groupBy("login").agg(F.sum("quick").alias("trades_within_3_min"))
     share = F.try_divide(F.col("trades_within_3_min"), F.col("trade_count")) * 100
     return (
-        groups.join(quick, "login", "left")
-        .withColumn("trades_within_3_min", F.coalesce("trades_within_3_min", F.lit(0)))
+        groups.join(quick, "login")
         .select(
             *group, "average_holding_time", "max_holding_time", "min_holding_time", "trade_count",
             "trades_within_3_min", share.alias("trades_within_3_min_pct"),

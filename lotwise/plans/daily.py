@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from lotwise.functions.clock import day_bounds, normalize_times
 from lotwise.operators.extract import enrich
 from lotwise.operators.lineage import shared_dir
-from lotwise.plans.catalog import CHECKS, report_builders
+from lotwise.operators.shared import grains, holders
+from lotwise.plans.catalog import CHECKS, shared_builders
 from lotwise.session import tune
 from lotwise.sources.enriched import read_enriched, write_enriched
 from lotwise.sources.reports import write_reports
@@ -37,9 +38,16 @@ def previous_day(today: date | None = None, utc_offset_hours: int = 0) -> str:
 
 def report_day(trades: DataFrame, root: str, report_date: str, parallel: int = 4) -> None:
     """Write the report set over normalised trades to ``<root>/reports`` and the
-    data-quality checks to ``<root>/checks``."""
+    data-quality checks to ``<root>/checks``.
+
+    The two shared passes come first, into ``<root>/shared``; most reports read only these.
+    """
     spark = trades.sparkSession
-    write_reports(spark, report_builders(trades), f"{root}/reports", report_date, parallel)
+    place = f"{root}/shared/{{}}/report_date={report_date}"
+    grains(trades).write.mode("overwrite").partitionBy("grain").parquet(place.format("grains"))
+    holders(trades).write.mode("overwrite").parquet(place.format("holders"))
+    summed, accounts = (spark.read.parquet(place.format(name)) for name in ("grains", "holders"))
+    write_reports(spark, shared_builders(trades, summed, accounts), f"{root}/reports", report_date, parallel)
     checks = {name: partial(check, trades) for name, check in CHECKS.items()}
     write_reports(spark, checks, f"{root}/checks", report_date, parallel)
 

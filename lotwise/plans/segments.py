@@ -8,11 +8,12 @@ from lotwise.functions.trades import is_demo, is_p2, is_real, is_unbreached
 
 
 def real(df: DataFrame) -> DataFrame:
-    return df.where(is_real())
+    """Of trades, or of cells that have the segment as a key."""
+    return df.where(F.col("real") if "real" in df.columns else is_real())
 
 
 def demo(df: DataFrame) -> DataFrame:
-    return df.where(is_demo())
+    return df.where(~F.col("real") if "real" in df.columns else is_demo())
 
 
 def p2(df: DataFrame) -> DataFrame:
@@ -20,7 +21,7 @@ def p2(df: DataFrame) -> DataFrame:
 
 
 def real_unbreached(df: DataFrame) -> DataFrame:
-    return df.where(is_real() & is_unbreached())
+    return real(df).where(F.col("unbreached") if "unbreached" in df.columns else is_unbreached())
 
 
 SEGMENTS = {"real": real, "demo": demo}

@@ -53,9 +53,13 @@ def max_lot_session(cells: DataFrame) -> DataFrame:
     )
 
 
-def pairwise_summary(cells: DataFrame) -> DataFrame:
-    """Totals per symbol with its most profitable and its largest session."""
+def pairwise_summary(cells: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+    """Totals per symbol with its most profitable and its largest session.
+
+    ``pairs`` has a row at least for each symbol and login, by default the cells.
+    """
     cells = cells.where(F.col("symbol").isNotNull())
+    pairs = cells if pairs is None else pairs.where(F.col("symbol").isNotNull())
     # A symbol has at most 13 sessions: after this aggregate everything but the
     # distinct count works on a handful of rows.
     sessions = cells.groupBy("symbol", "session").agg(
@@ -70,7 +74,7 @@ def pairwise_summary(cells: DataFrame) -> DataFrame:
         _best_session("session_profit").alias("by_profit"),
         _best_session("session_lot").alias("by_lot"),
     )
-    logins = cells.groupBy("symbol").agg(F.countDistinct("login").alias("unique_logins"))
+    logins = pairs.groupBy("symbol").agg(F.countDistinct("login").alias("unique_logins"))
     return summary.join(logins, "symbol").select(
         "symbol", "trade_count", "total_lots", "total_profit", "unique_logins",
         F.col("by_profit.session").alias("max_profit_session"),

@@ -7,13 +7,17 @@ from pyspark.sql import DataFrame, functions as F
 from lotwise.functions.trades import first_known, total
 
 
-def high_pnl_traders(trades: DataFrame, n: int = 10) -> DataFrame:
-    """Logins with the highest profit, with their best trade and main country."""
+def high_pnl_traders(trades: DataFrame, n: int = 10, ranked_on: DataFrame | None = None) -> DataFrame:
+    """Logins with the highest profit, with their best trade and main country.
+
+    ``ranked_on`` are cells of the same trades, by default the trades.
+    """
     trades = trades.where(F.col("login").isNotNull())
+    ranked_on = trades if ranked_on is None else ranked_on.where(F.col("login").isNotNull())
     # Rank on the one sum that decides, then describe the winners: the wide
     # aggregate (mode, arg-max, texts) sees the trades of n logins only.
     top = (
-        trades.groupBy("login").agg(total("profit").alias("p"))
+        ranked_on.groupBy("login").agg(total("profit").alias("p"))
         .orderBy(F.col("p").desc(), "login").limit(n).select("login")
     )
     best_trade = F.when(F.col("profit").isNotNull(), F.struct("profit", -F.col("id")))
@@ -84,7 +88,12 @@ def overall_pnl_by_login(trades: DataFrame) -> DataFrame:
 
 def positive_pnl_traders(trades: DataFrame) -> DataFrame:
     """Logins in profit today and overall; one row per distinct starting balance."""
-    balances = _balances(trades)
+    return positive_pnl_of(_balances(trades))
+
+
+def positive_pnl_of(balances: DataFrame) -> DataFrame:
+    """The same from rows of login and starting balance, see ``_balances``."""
+    balances = balances.where(F.col("login").isNotNull())
     winners = _pnl(balances).where("today_pnl > 0 AND overall_pnl > 0")
     return winners.join(balances.select("login", "starting_balance"), "login").select(
         "login",
