@@ -20,7 +20,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from lotwise.llm.common import map_arrow, quoted
 
@@ -115,7 +115,7 @@ class Flattener:
         self._attach("image", part.ref, math.ceil(part.width / IMAGE_PATCH) * math.ceil(part.height / IMAGE_PATCH))
 
     def visit_audio(self, part: Audio) -> None:
-        self._attach("audio", part.ref, math.ceil(part.seconds * AUDIO_TOKENS_A_SECOND))
+        self._attach("audio", part.ref, math.ceil(part.seconds * AUDIO_TOKENS_A_SECOND) if math.isfinite(part.seconds) else 0)
 
     def visit_document(self, part: Document) -> None:
         self._attach("document", part.ref, part.pages * DOCUMENT_TOKENS_A_PAGE)
@@ -190,13 +190,15 @@ def format_chats(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
                  text_col: str = "text", parts_col: str = "parts") -> DataFrame:
     """One formatted turn for each row of ``turns``.
 
-    The content is the column ``parts`` where there is one and it is not null, else
-    the text. Null roles, texts and parts count as empty; an unknown part type is an
+    The content is the column ``parts`` where there is one of an array of typed structs and it is not null,
+    else the text; a column of that name and any other type is not read. Audio of no finite length has no tokens. Null roles, texts and parts count as empty; an unknown part type is an
     error. Repeated rows and rows with equal or null turns all stay. Other columns
     are not read; an empty table gives an empty result. A conversation's text is its
     turns' ``formatted`` one after the other.
     """
-    parts = F.col(quoted(parts_col)).cast(PARTS) if parts_col in turns.columns else F.lit(None).cast(PARTS)
+    held = turns.schema[parts_col].dataType if parts_col in turns.columns else None
+    typed = isinstance(held, T.ArrayType) and isinstance(held.elementType, T.StructType) and "type" in held.elementType.names
+    parts = F.col(quoted(parts_col)).cast(PARTS) if typed else F.lit(None).cast(PARTS)
     rows = turns.select(
         F.col(quoted(conv_col)).cast("long").alias("conv_id"), F.col(quoted(turn_col)).cast("long").alias("turn"),
         F.col(quoted(role_col)).alias("role"), F.col(quoted(text_col)).alias("text"), parts.alias("parts"))

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lotwise.llm.common import merge_join, quoted, stored, whole_row
+from lotwise.llm.common import merge_join, quoted, stored
 
 BLANKS = r" \t\r\u000B\f"
 ROOM = 2_147_483_648  # more than the lines of any text
@@ -55,7 +55,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     replaced. An empty table gives an empty result.
     """
     rows = docs.select(
-        whole_row(docs).alias("row"), F.col(quoted(id_col)).cast("long").alias("doc_id"),
+        # the text once, beside the other columns
+        F.struct(*[F.col(quoted(c)) for c in docs.columns if c != text_col]).alias("row"), F.col(quoted(id_col)).cast("long").alias("doc_id"),
         F.col(quoted(text_col)).alias("text"), F.xxhash64(F.col(quoted(text_col))).alias("text_hash"))
     found = windows(rows)
     repeated = stored(

@@ -24,7 +24,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from lotwise.llm.common import map_arrow, merge_join, quoted, stored
 
-VOCABULARY_BITS = 17  # smoothing reckons with 2^17 - 1 words, or with all if there are more
 PAIR_WEIGHT = 0.7  # of the pair estimate against the single word's
 ADDED = 0.5  # to every word's count
 BATCH_TOKENS = 1 << 20
@@ -263,8 +262,7 @@ def members(packed: DataFrame, target_ids: DataFrame) -> DataFrame:
         F.collect_list("at").alias("members"), F.sum((F.col("length") > 0).cast("long")).alias("starts"), F.sum("length").alias("tokens"))
 
 
-def score_documents(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    vocabulary_bits: int = VOCABULARY_BITS) -> DataFrame:
+def score_documents(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``n_tokens``, both mean losses and their difference ``score`` for every row.
 
     Words are runs without ASCII white space after A-Z have been lowered. A document
@@ -286,7 +284,7 @@ def score_documents(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_i
     keys = map_arrow(keyed, _keys(bits), _KEYS)
     counts = stored(keys.groupBy("range").applyInArrow(_sums, _COUNTS), "counts")
     distinct = counts.where(F.col("range") >= 1 << bits).agg(F.coalesce(F.sum("distinct"), F.lit(0))).first()[0]
-    vocabulary = max((1 << vocabulary_bits) - 1, distinct)
+    vocabulary = max(1, distinct)  # of the corpus, whatever its size
 
     back = counts.groupBy(F.col("batch").alias("to")).agg(F.collect_list(F.struct("range", "target", "all")).alias("counts"))
     ready = merge_join(merge_join(packed, of, F.col("batch") == F.col("of"), "left"), back, F.col("batch") == F.col("to"), "left")

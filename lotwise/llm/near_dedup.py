@@ -34,7 +34,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from lotwise.llm.common import map_arrow, merge_join, quoted, stored
+from lotwise.llm.common import map_arrow, merge_join, quoted, stored, whole_row
 from lotwise.llm.components import components
 
 SHINGLE = 5
@@ -80,7 +80,7 @@ def shingles(text: bytes | None, hashes: _WordHashes) -> np.ndarray:
     return np.unique(_mixed(total).view(np.int64))
 
 
-_SKETCHES = "doc_id bigint, n int, digest binary, sketch array<bigint>"
+_SKETCHES = "doc_id bigint, text_hash bigint, n int, digest binary, sketch array<bigint>"
 
 
 def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -93,8 +93,8 @@ def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             digests.append(xxhash.xxh3_128_digest(own.tobytes()))
             sketches.append(own[:SKETCH])
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(sizes, pa.int32()), pa.array(digests, pa.binary()),
-             pa.array(sketches, pa.list_(pa.int64()))], ["doc_id", "n", "digest", "sketch"])
+            [batch.column("doc_id"), batch.column("text_hash"), pa.array(sizes, pa.int32()), pa.array(digests, pa.binary()),
+             pa.array(sketches, pa.list_(pa.int64()))], ["doc_id", "text_hash", "n", "digest", "sketch"])
 
 
 def _resketch(size: int):
@@ -301,21 +301,25 @@ def _unranked(key: str):
 
 
 class _Search:
-    """The tables of one search, all in the shared folder."""
+    """The tables of one search, all in the shared folder.
+
+    A class, the documents with one set of shingles, is known by its number ``rep``; ``least`` is its smallest doc_id, which
+    another class has too if rows of one doc_id differ.
+    """
 
     def __init__(self, docs: DataFrame, percent: int):
         self.docs, self.percent = docs, percent
         self.sketches = stored(map_arrow(docs, _sketch_rows, _SKETCHES), "sketches")
         self.classes = stored(
             self.sketches.where("n > 0").groupBy("digest")
-            .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
-            .where("rep is not null"), "classes")
+            .agg(F.min("doc_id").alias("least"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+            .where("least is not null").withColumn("rep", F.monotonically_increasing_id()), "classes")
 
     def fetch_texts(self, reps: DataFrame) -> None:
         """Keep the texts of all classes that any later comparison may need."""
-        wanted = merge_join(self.classes, reps.distinct(), "rep").select(F.col("rep").alias("of"), F.col("digest").alias("of_digest"))
-        found = merge_join(self.docs, wanted, F.col("doc_id") == F.col("of"))
-        found = map_arrow(found.select(F.col("of").alias("rep"), "of_digest", "text"), _compressed, "rep bigint, packed binary")
+        wanted = merge_join(self.classes, reps.distinct(), "rep").select("rep", "least", F.col("digest").alias("of_digest"))
+        found = merge_join(self.docs, wanted, F.col("doc_id") == F.col("least"))
+        found = map_arrow(found.select("rep", "of_digest", "text"), _compressed, "rep bigint, packed binary")
         self.texts = stored(found.dropDuplicates(["rep"]), "texts")
 
     def resketched(self, reps: DataFrame, size: int) -> DataFrame:
@@ -379,25 +383,53 @@ class _Search:
         return sure if unsure.isEmpty() else stored(sure.unionByName(self.confirmed(unsure)), "links")
 
 
+def grouped(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """For every row ``doc_id``, ``text_hash``, ``n`` (its set's size), ``group`` (a number for its component) and ``component_id``.
+
+    ``group`` and ``component_id`` are null without words or doc_id.
+    """
+    text = F.col(quoted(text_col))
+    rows = docs.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
+    search = _Search(rows, percent)
+    labels = search.labels()
+    classes = merge_join(search.classes.select("digest", "rep", "least"), labels, F.col("rep") == F.col("node"), "left")
+    classes = stored(classes.select(F.col("digest").alias("of_digest"), F.coalesce("label", "rep").alias("group"), "least"), "class-labels")
+    smallest = classes.groupBy(F.col("group").alias("of")).agg(F.min("least").alias("component_id"))
+    classes = merge_join(classes, smallest, F.col("group") == F.col("of")).select("of_digest", "group", "component_id")
+    found = merge_join(search.sketches.select("doc_id", "text_hash", "n", "digest"), classes, F.col("digest") == F.col("of_digest"), "left")
+    known = F.col("doc_id").isNotNull() & (F.col("n") > 0)
+    return found.select("doc_id", "text_hash", "n", *[F.when(known, F.col(c)).alias(c) for c in ("group", "component_id")])
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` for every row of ``docs``.
 
     Words are runs without ASCII white space after A-Z have been lowered. Two
-    documents are linked if 100 * intersection >= ``percent`` * union of their sets;
+    rows are linked if 100 * intersection >= ``percent`` * union of their sets;
     ``component_id`` is the smallest doc_id that links reach. Null and empty texts
-    have an empty set and are linked with nothing. Rows that repeat a doc_id are one
-    document and get the answer of their own text. A null doc_id is linked with
-    nothing, has no component and is kept. Other columns are not read.
+    have an empty set and are linked with nothing. Rows that repeat a doc_id each get
+    the answer of their own text. A null doc_id is linked with nothing, has no
+    component and is kept. Other columns are not read.
     """
-    rows = docs.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), F.col(quoted(text_col)).alias("text"))
-    search = _Search(rows, percent)
-    labels = search.labels()
-    by_class = merge_join(search.classes.select("digest", "rep"), labels, F.col("rep") == F.col("node"), "left")
-    by_class = stored(by_class.select(F.col("digest").alias("of_digest"), F.coalesce("label", "rep").alias("label")), "class-labels")
-    found = merge_join(
-        search.sketches.select("doc_id", "n", "digest"), by_class, F.col("digest") == F.col("of_digest"), "left")
-    component = F.when(F.col("n") > 0, F.coalesce("label", "doc_id")).otherwise(F.col("doc_id"))
+    found = grouped(docs, percent, id_col, text_col)
     return found.select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"),
-        F.when(F.col("doc_id").isNotNull(), component).alias("component_id"),
+        "doc_id", F.col("n").cast("long").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"),
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def one_of_each(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of near copies, one with the smallest doc_id.
+
+    Of rows that repeat this doc_id in a group, one text stays, and one row of it. Rows
+    without words or doc_id are in no group and all stay. Columns of any name are kept.
+    """
+    found = grouped(docs, percent, id_col, text_col).where("group IS NOT NULL AND doc_id = component_id")
+    found = stored(found.groupBy("group", F.col("doc_id").alias("of")).agg(F.min("text_hash").alias("of_hash")), "kept")
+    text = F.col(quoted(text_col))
+    rows = docs.select(whole_row(docs).alias("row"), F.col(quoted(id_col)).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
+                       F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False)).alias("has_words"))
+    apart = F.col("doc_id").isNull() | ~F.col("has_words")
+    same = (F.col("doc_id") == F.col("of")) & (F.col("text_hash") == F.col("of_hash"))
+    kept = merge_join(rows.where(~apart), found, same).dropDuplicates(["doc_id", "text_hash"])
+    kept = kept.select("row").unionByName(rows.where(apart).select("row"))
+    return kept.select(*[F.col(f"row.{quoted(c)}").alias(c) for c in docs.columns])

@@ -37,27 +37,31 @@ PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigin
 _PLAIN = re.compile(r"[\t\n\r\x20-\x7e¡-ſ‐-‧‰-⁞€]*")
 
 
-@functools.lru_cache(maxsize=2)
-def _tokenizers(vocabulary: str):
-    """The tokenizer of a vocabulary file, and a faster one over the same ranks where there is one."""
+@functools.lru_cache(maxsize=4)
+def _tokenizers(vocabulary: str, control: bool = False):
+    """The tokenizer of a vocabulary file, a faster one over the same ranks where there is one, and its control strings.
+
+    With ``control``, as the file says, control strings inside a text become their own ids.
+    """
     import public_tokenizers
     import tiktoken
     from tokenizers import Tokenizer
 
     exact = Tokenizer.from_file(public_tokenizers.path(vocabulary))
-    exact.encode_special_tokens = True
+    exact.encode_special_tokens = not control
+    strings = [t.content for t in exact.get_added_tokens_decoder().values()] if control else []
     ranks_file = vocabulary.removesuffix(".json") + ".tiktoken"
     if vocabulary != "byte_bpe_50k.json":
-        return exact, None
+        return exact, None, strings
     with open(public_tokenizers.path(ranks_file), "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     fast = tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return exact, fast
+    return exact, fast, strings
 
 
-def token_ids(text: str, vocabulary: str = "byte_bpe_50k.json") -> np.ndarray:
-    exact, fast = _tokenizers(vocabulary)
-    if fast is not None and _PLAIN.fullmatch(text):
+def token_ids(text: str, vocabulary: str = "byte_bpe_50k.json", control: bool = False) -> np.ndarray:
+    exact, fast, strings = _tokenizers(vocabulary, control)
+    if fast is not None and _PLAIN.fullmatch(text) and not any(s in text for s in strings):
         return fast.encode_to_numpy(text, disallowed_special=())
     return np.array(exact.encode(text, add_special_tokens=False).ids, np.uint32)
 
@@ -69,12 +73,12 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     return list(zip(edges[:-1], np.diff(edges).tolist(), strict=True))
 
 
-def _cut_documents(vocabulary: str, end_id: int, capacity: int):
+def _cut_documents(vocabulary: str, end_id: int, capacity: int, control: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: tuple[list, ...] = ([], [], [], [], [])
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = np.append(token_ids(text or "", vocabulary), end_id).astype("<u4")
+                ids = np.append(token_ids(text or "", vocabulary, control), end_id).astype("<u4")
                 for piece, (start, length) in enumerate(cut(len(ids), capacity)):
                     row = (doc_id, piece, start, length, zlib.crc32(ids[start:start + length].tobytes()))
                     for column, value in zip(out, row, strict=True):
@@ -87,10 +91,14 @@ def _cut_documents(vocabulary: str, end_id: int, capacity: int):
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = "byte_bpe_50k.json",
-           end_id: int = END_ID, capacity: int = SEQUENCE) -> DataFrame:
-    """Token pieces of every document; a null text is an empty one, of just the end id."""
+           end_id: int = END_ID, capacity: int = SEQUENCE, control: bool = True) -> DataFrame:
+    """Token pieces of every document; a null text is an empty one, of just the end id.
+
+    Control strings inside a text, such as ``<|endoftext|>``, become what the vocabulary's
+    tokenizer makes of them, its control ids; without ``control`` they are plain text.
+    """
     rows = docs.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), F.col(quoted(text_col)).alias("text"))
-    return map_arrow(rows, _cut_documents(vocabulary, end_id, capacity), PIECES)
+    return map_arrow(rows, _cut_documents(vocabulary, end_id, capacity, control), PIECES)
 
 
 # --- one block: an individual is the bin of each piece, numbered from 0 ---------------------
@@ -258,7 +266,7 @@ def _place(capacity: int):
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str = "byte_bpe_50k.json",
          end_id: int = END_ID, capacity: int = SEQUENCE, block_pieces: int = BLOCK_PIECES, islands: int = ISLANDS,
-         population: int = POPULATION, generations: int = GENERATIONS, epochs: int = EPOCHS) -> DataFrame:
+         population: int = POPULATION, generations: int = GENERATIONS, epochs: int = EPOCHS, control: bool = True) -> DataFrame:
     """Place of every piece of every document in a sequence of at most ``capacity`` tokens.
 
     A document is its token ids and ``end_id``. Only longer ones are cut, into full
@@ -269,7 +277,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
     """
     if not (1 < capacity <= 1 << 14 and 1 <= block_pieces <= 1 << 13):
         raise ValueError("capacity must be from 2 to 16384, block_pieces from 1 to 8192")
-    cut_up = stored(pieces(docs, id_col, text_col, vocabulary, end_id, capacity), "pieces")
+    cut_up = stored(pieces(docs, id_col, text_col, vocabulary, end_id, capacity, control), "pieces")
     row = F.monotonically_increasing_id()
     full = cut_up.where(F.col("length") == capacity).select(
         "*", (-1 - row).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))

@@ -100,6 +100,19 @@ def test_edges(spark):
     assert [r[2] for r in got if r[0] in (11, 12)] == [11, 12]
 
 
+@pytest.mark.parametrize("turn", [1, -1])
+def test_rows_of_one_id_with_different_texts(spark, turn):
+    """In both orders of the rows: links go by the text, and none is lost."""
+    text, other = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(3, text + " tail"), (5, text), (5, other), (5, text), (7, other + " more"), (4, other), (4, "one two"), (9, "One two"), (None, text)][::turn]
+    assert result(spark, rows) == brute(rows)
+    got = result(spark, rows)
+    assert [r[2] for r in got if r[0] == 5] == [3, 3, 4] and [r[2] for r in got if r[0] == 4] == [4, 4]
+    rng = random.Random(7)
+    rows = [(rng.randrange(12), t) for _, t in corpus(5, 12, 6, 0.06)][::turn]
+    assert result(spark, rows) == brute(rows)
+
+
 def test_threshold_is_exact(spark):
     # 15 of 20 shingles in common: linked; 14 of 19: not
     base = [f"w{i}" for i in range(40)]

@@ -14,7 +14,6 @@ from llm_helpers import documents
 @pytest.fixture(scope="module")
 def exact():
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     return tokenizer
 
 
@@ -24,7 +23,7 @@ def test_fast_tokenizer_gives_the_same_ids(exact):
     mixed = [" ", "  ", "\n", "\t", "\r\n", "'s", "'ll", "12", "a", "É", "<|endoftext|>", " ", "　", "中", "𝔘", "\x85", "\x1c"]
     for _ in range(4000):
         text = "".join(rng.choice(plain if rng.random() < 0.6 else mixed) for _ in range(rng.randint(0, 14)))
-        assert packing.token_ids(text).tolist() == exact.encode(text, add_special_tokens=False).ids, repr(text)
+        assert packing.token_ids(text, control=True).tolist() == exact.encode(text, add_special_tokens=False).ids, repr(text)
 
 
 def test_cut():
@@ -110,3 +109,11 @@ def test_edges(spark):
 def test_other_capacity(spark, exact):
     texts = {i: "one two three " * i for i in range(40)}
     check(packing.pack(documents(spark, list(texts.items())), capacity=16).collect(), texts, exact, 16)
+
+
+def test_control_strings_as_the_tokenizer_has_them(spark):
+    text = "a <|endoftext|> b"
+    assert packing.token_ids(text, control=True).tolist() == [64, 220, 50256, 275]
+    assert packing.token_ids(text).tolist() == packing._tokenizers("byte_bpe_50k.json")[0].encode(text, add_special_tokens=False).ids
+    lengths = [packing.pack(documents(spark, [(1, text)]), **more).first().length for more in ({}, {"control": False})]
+    assert lengths == [5, 10]
