@@ -40,6 +40,9 @@ def exact(value: str, name: str, source: T.DataType, target: T.DataType) -> str:
     tried = f"try_cast({value} AS {target.simpleString()})"
     if isinstance(source, T.DecimalType):
         fits = f"{tried} = {value}"
+    elif isinstance(source, T.StringType):
+        # as written: cut to the scale it must stay the same number, however large
+        fits = _unrounded(value, target.scale) + f" AND {tried} IS NOT NULL"
     else:
         number = f"try_cast({value} AS double)"
         fits = f"abs({tried} - {number}) <= {FLOAT_NOISE} * greatest(1, abs({number}))"
@@ -47,6 +50,24 @@ def exact(value: str, name: str, source: T.DataType, target: T.DataType) -> str:
     return f"CASE WHEN {value} IS NULL OR {fits} THEN {tried} ELSE cast({error} AS {target.simpleString()}) END"
 
 
+# A number as text: sign, digits before and after the point, exponent.
+_PLAIN_NUMBER = r"^[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)$"
+
+
+def _unrounded(value: str, scale: int) -> str:
+    """SQL that is true if a number written as text has no digit but zeros after ``scale`` decimal places.
+
+    Text with an exponent is compared as a decimal of 38 digits, 18 of them after the point.
+    """
+    text = f"trim({value})"
+    places = f"regexp_replace({text}, '^[^.]*[.]?', '')"
+    plain = f"rlike({text}, '{_PLAIN_NUMBER}') AND rtrim('0', substr({places}, {scale + 1})) = ''"
+    wide = "decimal(38, 18)"
+    other = (f"NOT rlike({text}, '{_PLAIN_NUMBER}') AND try_cast({value} AS {wide}) IS NOT NULL"
+             f" AND try_cast({value} AS {wide}) = cast(try_cast({value} AS decimal(38, {scale})) AS {wide})")
+    return f"(({plain}) OR ({other}))"
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Project to the declared columns and types, without rounding amounts."""
     return df.selectExpr(*[
