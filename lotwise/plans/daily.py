@@ -56,7 +56,7 @@ def run_day(
     spark: SparkSession, tables: BrokerTables, report_date: str | None, root: str,
     utc_offset_hours: int = 0, parallel: int = 4,
 ) -> None:
-    """Both stages; trades go to ``<root>/enriched``, reports to ``<root>/reports``.
+    """Both stages; trades go to ``<root>/enriched``, reports to ``<root>/reports``, to be read with ``read_report``.
 
     Without a date, the report is on the previous day.
     """

@@ -14,6 +14,7 @@ from lotwise.schemas import ENRICHED, MONEY
 from lotwise.sources.enriched import (
     CSV_NAMES, CSV_OPTIONAL, read_enriched, read_enriched_csv, write_enriched, write_enriched_csv,
 )
+from lotwise.sources.reports import read_report, report_names, write_reports
 from lotwise.sources.sample import sample_tables
 from lotwise.sources.tables import TABLE_SCHEMAS, conform, read_jdbc_tables, read_parquet_tables
 
@@ -124,18 +125,50 @@ def test_the_daily_job_writes_every_report(spark, broker_root, tmp_path):
     root = str(tmp_path / "out")
     run_day(spark, tables, "2024-01-15", root)
     run_day(spark, tables, "2024-01-16", root)
-    assert sorted(os.listdir(f"{root}/reports")) == sorted(REPORTS)
-    assert sorted(os.listdir(f"{root}/checks")) == sorted(CHECKS)
+    assert sorted(os.listdir(f"{root}/reports")) == ["report_date=2024-01-15", "report_date=2024-01-16"]
+    assert report_names(spark, f"{root}/reports", "2024-01-16") == sorted(REPORTS)
+    assert report_names(spark, f"{root}/checks", "2024-01-15") == sorted(CHECKS)
     t = read_enriched(spark, f"{root}/enriched", "2024-01-15")
     opened_or_closed = t.where(
         "date(open_time) = date'2024-01-15' OR date(close_time) = date'2024-01-15'"
     ).count()
     assert t.count() == opened_or_closed > 0
     for name, df in build_reports(t).items():
-        stored = spark.read.parquet(f"{root}/reports/{name}").where("report_date = '2024-01-15'")
+        stored = read_report(spark, f"{root}/reports", name, "2024-01-15")
         assert rows(stored.drop("report_date").select(*df.columns)) == rows(df), name
 
 
+def test_a_report_set_is_published_as_a_whole(spark, tmp_path):
+    root = str(tmp_path / "out")
+
+    def numbers(n):
+        return spark.range(n)
+
+    def seen():
+        names = report_names(spark, root, "2024-01-15")
+        return {name: read_report(spark, root, name, "2024-01-15").count() for name in names}
+
+    assert seen() == {}
+    with pytest.raises(FileNotFoundError, match="2024-01-15"):
+        read_report(spark, root, "a", "2024-01-15")
+    write_reports(spark, {"a": numbers(1), "b": lambda: numbers(2)}, root, "2024-01-15")
+    assert seen() == {"a": 1, "b": 2}
+
+    def dies():
+        # the other report of this run is there already
+        assert any((p / "a" / "_SUCCESS").exists() for p in (tmp_path / "out" / "report_date=2024-01-15").glob("run-*"))
+        raise RuntimeError("killed")
+
+    with pytest.raises(RuntimeError, match="killed"):
+        write_reports(spark, {"a": numbers(10), "b": dies}, root, "2024-01-15", parallel=1)
+    assert seen() == {"a": 1, "b": 2}
+    old = read_report(spark, root, "a", "2024-01-15")
+    write_reports(spark, {"a": numbers(5), "c": numbers(0)}, root, "2024-01-15")
+    assert seen() == {"a": 5, "c": 0} and old.count() == 1
+    # the new run and the one before, nothing of the one that failed
+    assert len([n for n in os.listdir(f"{root}/report_date=2024-01-15") if n.startswith("run-")]) == 2
+
+
 def test_an_empty_day_flows_through(spark, broker_root):
     tables = read_parquet_tables(spark, broker_root)
     none = enrich(tables, (10, 20))
@@ -239,6 +272,12 @@ def test_amounts_are_kept_or_refused(spark):
     assert read([1.005, 0.0004, 0.1 + 0.2, None], "double") == [Decimal("1.005"), Decimal("0.0004"), Decimal("0.3"), None]
     assert read(["1.005", "0.0004", None], "string") == [Decimal("1.005"), Decimal("0.0004"), None]
     assert read([Decimal("1.00500000")], "decimal(20,8)") == [Decimal("1.005")]
+    exact = ["12345678901.123456", "-0.5000000000", " 2.5 ", "1e3", "15E-6", ".5", "7."]
+    assert read(exact, "string") == [Decimal(v.strip()).quantize(Decimal("0.000001")) for v in exact]
+    # a relative allowance would let the large ones through
+    for text in ("12345678.00049951", "123456.1234567", "1e-7", "1234567890123.5", "1.000000000000000000000000001", ""):
+        with pytest.raises(Exception, match="column profit"):
+            read([text], "string")
     for value, kind in ((1.0000004, "double"), ("0.00000049", "string"), ("x", "string"), (Decimal("1.00000001"), "decimal(20,8)"), (1e15, "double")):
         with pytest.raises(Exception, match="column profit"):
             read([value], kind)
