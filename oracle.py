@@ -121,10 +121,12 @@ def _extracts() -> dict[str, str]:
     acc = "a AS (SELECT * FROM accounts WHERE login IN (SELECT login FROM w))"
     cus = "c AS (SELECT * FROM customers WHERE customer_id IN (SELECT customer_id FROM a))"
     money = f"{_dbl('equity', 'equity')}, breachedby, customer_id, {_dbl('starting_balance', 'starting_balance')}"
+    found = f"""{window}
+        SELECT id, login, symbol, open_time, close_time, type_str, {_dbl('final_lot', 'final_lot')},
+               {_dbl('profit', 'profit')} FROM w"""
     return {
-        "extract_trades_window": f"""{window}
-            SELECT id, login, symbol, open_time, close_time, type_str, {_dbl('final_lot', 'final_lot')},
-                   {_dbl('profit', 'profit')} FROM w""",
+        "extract_trades_window": found,
+        "extract_trades_history": found,
         "extract_accounts": f"{window}, {acc} SELECT account_id, login, type_account, {money} FROM a",
         "extract_customers": f"{window}, {acc}, {cus} SELECT customer_id, email, country_id FROM c",
         "extract_countries": f"""{window}, {acc}, {cus} SELECT country_id, country_name FROM countries
