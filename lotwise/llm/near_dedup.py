@@ -273,6 +273,8 @@ class _Level:
         """Members of the longer lists with two hubs of each: the class with the widest shared values, and the smallest set."""
         keys = self.many.groupBy("value").agg(F.max(_ranked("weight", "rep")).alias("wide"), F.min(_ranked("n", "rep")).alias("small"))
         hubs = keys.select("value", F.explode(F.array_distinct(F.array(_unranked("wide"), _unranked("small")))).alias("hub"))
+        # a table of its own: the join reads two plain exchanges then, which adaptive execution can split at a hot value
+        hubs = stored(hubs, "hubs")
         return merge_join(self.many.select("value", F.col("rep").alias("rep_a")), hubs, "value").select("rep_a", F.col("hub").alias("rep_b"))
 
     def likely(self, pairs: DataFrame) -> DataFrame:
@@ -362,7 +364,7 @@ class _Search:
         sizes = keyed.groupBy("value", "label").agg(F.count("*").alias("size"))
         lists = sizes.groupBy(F.col("value").alias("in")).agg(
             F.sum("size").alias("all"), F.max("size").alias("largest"), F.max(_ranked("size", "label")).alias("key"))
-        lists = lists.where("`all` > largest").select("in", "all", "largest", _unranked("key").alias("main"))
+        lists = stored(lists.where("`all` > largest").select("in", "all", "largest", _unranked("key").alias("main")), "apart")
         keyed = merge_join(keyed, lists, F.col("value") == F.col("in"))
 
         def block(size: str):
