@@ -48,8 +48,8 @@ def _cell() -> list:
     ]
 
 
-def hour_cells(trades: DataFrame) -> DataFrame:
-    """One cell per trade with the hours of both clocks, the account's balance and numbers that order its top trades."""
+def hour_cells(trades: DataFrame, *others: str) -> DataFrame:
+    """One cell per trade with the hours of both clocks, the account's balance, numbers that order its top trades and ``others``."""
     extra = trades.select(
         "*",
         F.hour("open_time").cast("bigint").alias("open_hour"), F.hour("close_time").cast("bigint").alias("close_hour"),
@@ -57,7 +57,7 @@ def hour_cells(trades: DataFrame) -> DataFrame:
         first_at("final_lot", "id").alias("lot_trade"), first_at("profit", "id").alias("profit_trade"),
     )
     more = ["open_hour", "close_hour", "starting_balance", "equity", *MAXIMA[1:]]
-    return extra.select(*_cell(), *more)
+    return extra.select(*_cell(), *more, *others)
 
 
 def roll_up(cells: DataFrame) -> DataFrame:

@@ -8,7 +8,9 @@ values. ``holders`` has one key set, the account, and the measures of trading
 behaviour, which would only burden the rows of the other key sets.
 
 Distinct logins of a key are rows of a key set that holds the login, so they stay
-exact, and tables of several days or segments merge by union and distinct.
+exact. Tables of several days merge into those of the period, see ``merged_grains``
+and ``merged_holders``: sums add up, and first and last values go by the trade ids
+that are kept with them.
 """
 
 from __future__ import annotations
@@ -42,11 +44,18 @@ def _grain(names: list[str]) -> Column:
     return name
 
 
-def grains(trades: DataFrame) -> DataFrame:
-    """Cells of every key set in ``GRAINS``, told apart by ``grain``; keys outside a row's set are null. One scan, one shuffle."""
-    cells = hour_cells(trades).withColumns({"real": is_real(), "unbreached": is_unbreached()})
-    names = list(dict.fromkeys(key for keys in GRAINS.values() for key in keys))
-    return cells.groupingSets([[F.col(k) for k in keys] for keys in GRAINS.values()], *names).agg(
+def _keys() -> list[str]:
+    return list(dict.fromkeys(key for keys in GRAINS.values() for key in keys))
+
+
+def grains(trades: DataFrame, by: str | None = None) -> DataFrame:
+    """Cells of every key set in ``GRAINS``, told apart by ``grain``; keys outside a row's set are null. One scan, one shuffle.
+
+    With a column ``by`` of the trades, it is a key of every set, and the rows of each of its values are the table of these trades.
+    """
+    cells = hour_cells(trades, *([by] if by else [])).withColumns({"real": is_real(), "unbreached": is_unbreached()})
+    names, own = _keys(), [F.col(by)] if by else []
+    return cells.groupingSets([[*own, *map(F.col, keys)] for keys in GRAINS.values()], *own, *names).agg(
         _grain(names).alias("grain"),
         *[total(m).alias(m) for m in SUMS],
         *[F.max(m).alias(m) for m in MAXIMA],
@@ -56,12 +65,35 @@ def grains(trades: DataFrame) -> DataFrame:
     )
 
 
+def merged_grains(table: DataFrame) -> DataFrame:
+    """One table of grains from the rows of several, if no trade is in two of them."""
+    merged = table.groupBy("grain", *_keys()).agg(
+        *[total(m).alias(m) for m in SUMS],
+        *[F.max(m).alias(m) for m in MAXIMA],
+        F.min("first_id").alias("first_id"),
+        F.max_by("last_equity", "last_id").alias("last_equity"),
+        F.max("last_id").alias("last_id"),
+    )
+    return _like(merged, table)
+
+
+def _like(merged: DataFrame, table: DataFrame) -> DataFrame:
+    """Columns and types of ``table``; a sum of sums would be a wider decimal."""
+    return merged.select(*[F.col(f.name).cast(f.dataType) for f in table.schema.fields if f.name in merged.columns])
+
+
 def grain(table: DataFrame, name: str) -> DataFrame:
     """The cells of one key set, without the keys of the others."""
     others = {key for keys in GRAINS.values() for key in keys} - set(GRAINS[name])
     return table.where(F.col("grain") == name).drop("grain", *others)
 
 
-def holders(trades: DataFrame) -> DataFrame:
-    """One row per account (``HOLDER``) with the measures of all reports on trading behaviour."""
-    return trades.where(F.col("login").isNotNull()).groupBy(*HOLDER).agg(*behaviour.holder_measures())
+def holders(trades: DataFrame, by: str | None = None) -> DataFrame:
+    """One row per account (``HOLDER``), and value of ``by``, with the measures of all reports on trading behaviour."""
+    own = [by] if by else []
+    return trades.where(F.col("login").isNotNull()).groupBy(*own, *HOLDER).agg(*behaviour.holder_measures())
+
+
+def merged_holders(table: DataFrame) -> DataFrame:
+    """One row per account from the rows of several tables, if no trade is in two of them."""
+    return _like(table.groupBy(*HOLDER).agg(*behaviour.merged_measures()), table)

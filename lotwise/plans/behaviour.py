@@ -113,6 +113,21 @@ def holder_measures() -> list[Column]:
     ]
 
 
+def merged_measures() -> list[Column]:
+    """The same measures from rows that hold them for different trades."""
+    sums = [
+        "fast", "very_fast", "forward", "held", "held_count", "trade_count", "rows", "lots", "profit", "quick",
+        "forex_settlement", "indices_settlement", "illiquid",
+    ]
+    return [
+        *[F.sum(name).alias(name) for name in sums],
+        F.max("longest").alias("longest"),
+        F.min("shortest").alias("shortest"),
+        F.min_by("forward_equity", "forward_id").alias("forward_equity"),
+        F.min("forward_id").alias("forward_id"),
+    ]
+
+
 def arbitrage_traders(trades: DataFrame, fast: int = QUICK, closed_only: bool = False) -> DataFrame:
     """Holding times per (login, email, account type).
 

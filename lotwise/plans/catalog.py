@@ -83,6 +83,9 @@ SHARED: dict[str, Shared] = {
     "session_summary": lambda t, g, h: sessions.session_summary(real_unbreached(g["session"])),
 }
 
+# Reports that the shared passes serve without the trades.
+TRADELESS = [name for name in SHARED if name != "high_pnl_traders_real"]
+
 # Data-quality checks over trades; they use the real accounts in good standing.
 CHECKS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "missing_open_time": lambda t: quality.missing_open_time(real_unbreached(t)),

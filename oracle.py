@@ -367,6 +367,9 @@ def statements() -> dict[str, str]:
         **_behaviour(),
         **_exposure(),
     }
+    # the same trades, summed by day and merged
+    for name in ("positive_pnl_traders", "arbitrage_traders", "hft_summary"):
+        tails[f"{name}_of_days"] = tails[name]
     return {
         name: f"WITH {SOURCES}{', ' if not tail.lstrip().startswith('SELECT') else ''}{tail}"
         for name, tail in tails.items()
