@@ -3,6 +3,8 @@ the reports: a CSV file with a header, or a parquet table by report date."""
 
 from __future__ import annotations
 
+import csv
+from collections import Counter
 from functools import reduce
 from urllib.parse import unquote
 
@@ -26,14 +28,48 @@ CSV_OPTIONS = {
 DATE_IN_NAME = r"(\d{4}-\d{2}-\d{2})"
 
 
+def _place(path: str) -> str:
+    """A path in one spelling: ``file:///a`` and ``file:/a`` are the same place."""
+    scheme, colon, rest = path.rpartition(":/")
+    return f"{scheme}{colon}{rest.lstrip('/')}"
+
+
+def _header_names(line: str) -> list[str]:
+    """Column names of a header line; names that occur twice get their place as a suffix, so none of them is taken for the column."""
+    names = next(csv.reader([line]))
+    count = Counter(name.lower() for name in names)
+    return [f"{name}{place}" if count[name.lower()] > 1 else name for place, name in enumerate(names)]
+
+
 def _csv_files(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
-    """The files of a CSV folder by their header; only their first lines are read."""
+    """The files of a CSV folder by their header, found by one job over all files.
+
+    A header is the first line of a file that holds the name of every column that some report reads; lines of data are
+    dropped where they are read. A file without such a line is described on its own, for the error, unless it is empty.
+    """
+    text = spark.read.text(path)
+    files = {_place(unquote(file)): unquote(file) for file in text.inputFiles()}
+    lines = text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value",
+                        F.monotonically_increasing_id().alias("line"))
+    for name in _wanted():
+        lines = lines.where(F.contains("value", F.lit(name)))
+    heads = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "line").alias("header")).collect()
     found: dict[tuple[str, ...], list[str]] = {}
-    for file in sorted(map(unquote, spark.read.text(path).inputFiles())):
-        names = spark.read.options(**CSV_OPTIONS, inferSchema=False).csv(file).columns
-        if names:
-            found.setdefault(tuple(names), []).append(file)
-    return found
+    for head in heads:
+        place = _place(head.file) if _place(head.file) in files else _place(unquote(head.file))
+        found.setdefault(tuple(_header_names(head.header)), []).append(files.pop(place))
+    if files:
+        rest = sorted(files.values())
+        first = spark.read.text(rest).where("trim(value) <> ''").select(F.min("_metadata.file_path")).first()[0]
+        if first is not None:
+            file = files.get(_place(first)) or files[_place(unquote(first))]
+            found = {tuple(spark.read.options(**CSV_OPTIONS, inferSchema=False).csv(file).columns): [file], **found}
+    return {names: sorted(group) for names, group in found.items()}
+
+
+def _wanted() -> list[str]:
+    """Names of the columns that every file must have."""
+    return [CSV_NAMES.get(f.name, f.name) for f in ENRICHED.fields if f.name not in CSV_OPTIONAL]
 
 
 def read_enriched_csv(spark: SparkSession, path: str, nulls=K.CSV_NULLS) -> DataFrame:
@@ -53,8 +89,7 @@ def read_enriched_csv(spark: SparkSession, path: str, nulls=K.CSV_NULLS) -> Data
 
 
 def _read_one_header(spark: SparkSession, names: list[str], files: list[str], nulls) -> DataFrame:
-    wanted = [CSV_NAMES.get(f.name, f.name) for f in ENRICHED.fields if f.name not in CSV_OPTIONAL]
-    if missing := [name for name in wanted if name not in names]:
+    if missing := [name for name in _wanted() if name not in names]:
         raise ValueError(f"columns {missing} are missing in {files[0]}")
     # Text first: the null spellings have to go before any cast.
     layout = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])

@@ -97,6 +97,36 @@ def test_csv_round_trip(spark, tmp_path):
     assert back.exceptAll(expected).count() == 0 and back.count() == df.count()
 
 
+def test_headers_of_many_files_are_found_by_one_job(spark, tmp_path):
+    folder = tmp_path / "many files"
+    folder.mkdir()
+    for n in range(30):
+        first = ["id", "login", "symbol"] if n % 3 else ["symbol", "login", "id"]
+        cells = f"{n},7,EURUSD" if n % 3 else f"EURUSD,7,{n}"
+        write_csv(folder / f"part {n} 100%25_2024-08-{n % 28 + 1:02}.csv", first, cells, cells)
+    (folder / "empty.csv").write_text("")
+    (folder / "blank.csv").write_text("\n\n")
+    quoted = ",".join(f'"{name}"' for name in FULL_HEADER)
+    (folder / "quoted_2024-08-30.csv").write_text(f"\n{quoted}\n" + "99" + "," * (len(FULL_HEADER) - 1) + "\n")
+    spark.sparkContext.setJobGroup("headers", "headers")
+    df = read_enriched_csv(spark, str(folder))
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("headers"))
+    spark.sparkContext.setJobGroup("rows", "rows")
+    got = df.select("id", "login", "symbol", "report_date").collect()
+    assert sorted(r.id for r in got) == sorted([*range(30)] * 2 + [99])
+    assert {r.symbol for r in got if r.id < 99} == {"EURUSD"}
+    assert {r.report_date for r in got if r.id == 29} == {"2024-08-02"}
+    # the listing of the files, the headers, the files without one
+    assert jobs <= 6
+
+
+def test_a_column_that_comes_twice_is_refused(spark, tmp_path):
+    path = tmp_path / "a_2024-08-21.csv"
+    path.write_text(",".join([*FULL_HEADER, "Login"]) + "\n")
+    with pytest.raises(ValueError, match="login.*a_2024-08-21"):
+        read_enriched_csv(spark, str(tmp_path))
+
+
 def test_enriched_table_replaces_one_date_only(spark, tmp_path):
     path = str(tmp_path / "enriched")
     first, second = raw_trades(spark, [{"id": 1}]), raw_trades(spark, [{"id": 2}])
