@@ -48,23 +48,38 @@ def watched(trades: DataFrame, limits=K.EXPOSURE_LIMITS) -> DataFrame:
     return trades.where(keep & F.col("login").isNotNull() & F.col("open_time").isNotNull())
 
 
-def _events(legs: DataFrame, *extra: str) -> DataFrame:
-    """Opening and closing event of each trade; ``extra`` columns on the opening."""
+def _events(legs: DataFrame, window: tuple[str, str] | None = None) -> DataFrame:
+    """Opening and closing event of each trade; with a window, those at or after its start and before its end."""
     zero = F.lit(0)
     early = F.col("close_time") < F.col("open_time")
     opening = F.struct(
-        F.col("open_time").alias("at"), zero.alias("phase"), zero.alias("closing"),
-        F.col("lot").alias("change"), *[F.col(c) for c in extra],
-    )
+        F.col("open_time").alias("at"), zero.alias("phase"), zero.alias("closing"), F.col("lot").alias("change"))
     # closings come after all openings of their second, as a trade is live up
     # to and including it
     closing = F.struct(
         F.when(early, F.col("open_time")).otherwise(F.col("close_time")).alias("at"),
         F.when(early, 0).otherwise(1).alias("phase"), F.lit(1).alias("closing"),
         (-F.col("lot")).alias("change"),
-        *[F.lit(None).cast(legs.schema[c].dataType).alias(c) for c in extra],
     )
-    return legs.select(*OWNER, "symbol", "id", F.inline(F.array(opening, closing)))
+    events = legs.select(*OWNER, "symbol", "id", F.inline(F.array(opening, closing)))
+    if window is None:
+        return events
+    return events.where((F.col("at") >= _instant(window[0])) & (F.col("at") < _instant(window[1])))
+
+
+def _instant(text: str):
+    return F.lit(text).cast("timestamp_ntz")
+
+
+def _moves(legs: DataFrame, window: tuple[str, str] | None, before: DataFrame | None) -> DataFrame:
+    """The events of a window, after one for each net of ``before`` at its start."""
+    events = _events(legs, window)
+    if before is None:
+        return events
+    carried = before.select(
+        *OWNER, "symbol", F.lit(0).cast("bigint").alias("id"), _instant(window[0]).alias("at"),
+        F.lit(-1).alias("phase"), F.lit(-1).alias("closing"), F.col("net").alias("change"))
+    return events.unionByName(carried)
 
 
 def _walk(events: DataFrame) -> DataFrame:
@@ -101,28 +116,32 @@ def _seconds(interval):
     return interval.cast("interval second").cast("bigint")
 
 
-def _slotted(legs: DataFrame, hot: DataFrame, dense: DataFrame, block_bits: int, *extra: str) -> DataFrame:
-    """Events with their slot.
+def _one_slot(events: DataFrame) -> DataFrame:
+    return events.withColumns({
+        "slice": F.lit(0).cast("bigint"), "slot_at": F.lit(None).cast("timestamp_ntz"),
+        "slot_phase": F.lit(None).cast("int"), "slot_block": F.lit(None).cast("bigint"),
+    })
+
+
+def _slotted(sliced: DataFrame, dense: DataFrame, block_bits: int) -> DataFrame:
+    """Events of hot logins with their slot.
 
-    A login that is not hot is one slot. A slice of a hot one is a slot, unless it
-    is so dense that it is cut by second, phase and trade id: such a slot holds a
+    A slice is a slot, unless it is so dense that it is cut by second, phase and trade id: such a slot holds a
     bounded number of events however many trades the login has.
     """
-    events = _sliced(legs, hot, *extra).join(dense, [*OWNER, "slice"], "left")
-    return events.withColumns({
+    return sliced.join(dense, [*OWNER, "slice"], "left").withColumns({
         "slot_at": F.when(F.col("dense"), F.col("at")),
         "slot_phase": F.when(F.col("dense"), F.col("phase")),
         "slot_block": F.when(F.col("dense"), F.shiftright("id", block_bits)),
     }).drop("dense")
 
 
-def _sliced(legs: DataFrame, hot: DataFrame, *extra: str) -> DataFrame:
+def _sliced(events: DataFrame, hot: DataFrame) -> DataFrame:
     slice_ = F.floor(_seconds(F.col("at") - F.col("first")) / F.col("width"))
-    events = _events(legs, *extra).join(hot, OWNER, "left")
-    return events.withColumn("slice", F.coalesce(slice_, F.lit(0))).drop("first", "width")
+    return events.join(hot, OWNER).withColumn("slice", slice_).drop("first", "width")
 
 
-def _carried(events: DataFrame, extra: dict) -> DataFrame:
+def _carried(events: DataFrame) -> DataFrame:
     """Opening rows of the slots of hot logins: the net of each symbol that trades in
     the slot, and the summed |net| of all others, as earlier slots left them."""
     symbol_slots = events.groupBy(*OWNER, "symbol", *SLOT).agg(F.sum("change").alias("change"))
@@ -138,7 +157,7 @@ def _carried(events: DataFrame, extra: dict) -> DataFrame:
         return df.select(
             *OWNER, *SLOT, symbol.alias("symbol"), F.lit(None).cast("timestamp_ntz").alias("at"),
             F.lit(0).alias("phase"), F.lit(0).cast("bigint").alias("id"), F.lit(-1).alias("closing"),
-            lots.alias("change"), *[F.lit(None).cast(kind).alias(c) for c, kind in extra.items()],
+            lots.alias("change"),
         )
 
     return opening_rows(symbol_slots, F.col("symbol"), F.col("start")).unionByName(
@@ -155,31 +174,64 @@ def exposure_legs(trades: DataFrame, limits=K.EXPOSURE_LIMITS) -> DataFrame:
 
 def peaks(
     legs: DataFrame, hot_trades: int = HOT_TRADES, slice_trades: int = SLICE_TRADES, block_bits: int = BLOCK_BITS,
+    window: tuple[str, str] | None = None, before: DataFrame | None = None, stage=None,
 ) -> DataFrame:
-    """(login, asset_class) with its largest live exposure and the account data of its first trade.
+    """(login, asset_class) with its largest live exposure ``peak`` in lot units and its first trade ``first_id``.
+
+    With a window (times as text, the end left out), only trades that open in it are looked at. ``before`` holds the
+    ``nets`` at its start, and ``legs`` then need only those that open or close in it.
 
-    One plan for all logins; describing it runs no job. The frames that tell hot
-    logins and dense slices apart are broadcast: they have at most (trades /
-    ``hot_trades``) and (events / (``DENSE_FACTOR`` * ``slice_trades``)) rows.
-    Without a hot login they are empty, and adaptive execution drops the branches
-    that only serve hot ones.
+    With ``stage``, the hot logins are found and stored first, and the branches that serve them are planned only if there
+    are any. Without it, all is one plan and describing it runs no job. The frames that tell hot logins and dense
+    slices apart are broadcast: they have at most (trades / ``hot_trades``) and (events / (``DENSE_FACTOR`` *
+    ``slice_trades``)) rows.
     """
-    sizes = legs.groupBy(*OWNER).agg(
-        F.count(F.lit(1)).alias("count"), F.min("open_time").alias("first"), F.max("open_time").alias("last"))
+    keep = stage or (lambda df, name: df)
+    seen = F.col("open_time") if window is None else F.greatest("open_time", _instant(window[0]))
+    sizes = legs.groupBy(*OWNER).agg(F.count(F.lit(1)).alias("count"), F.min(seen).alias("first"), F.max(seen).alias("last"))
     width = F.greatest(F.lit(1), F.floor(_seconds(F.col("last") - F.col("first")) * slice_trades / F.col("count")))
-    hot = F.broadcast(sizes.where(F.col("count") > hot_trades).select(*OWNER, "first", width.alias("width")))
-    hot_legs = legs.join(hot.select(*OWNER), OWNER, "left_semi")
-    dense = F.broadcast(
-        _sliced(hot_legs, hot).groupBy(*OWNER, "slice").count()
-        .where(F.col("count") > DENSE_FACTOR * slice_trades).select(*OWNER, "slice", F.lit(True).alias("dense")))
-    events = _slotted(legs, hot, dense, block_bits, *HOLDER)
-    carried = _carried(_slotted(hot_legs, hot, dense, block_bits), {c: legs.schema[c].dataType for c in HOLDER})
+    hot = keep(sizes.where(F.col("count") > hot_trades).select(*OWNER, "first", width.alias("width")), "exposure-hot")
+    moves = _moves(legs, window, before)
+    if stage and hot.isEmpty():
+        slotted = _one_slot(moves)
+    else:
+        hot = F.broadcast(hot)
+        sliced = keep(_sliced(moves, hot), "exposure-sliced")
+        dense = F.broadcast(
+            sliced.groupBy(*OWNER, "slice").count()
+            .where(F.col("count") > DENSE_FACTOR * slice_trades).select(*OWNER, "slice", F.lit(True).alias("dense")))
+        of_hot = _slotted(sliced, dense, block_bits)
+        others = _one_slot(moves.join(hot.select(*OWNER), OWNER, "left_anti"))
+        slotted = others.unionByName(of_hot).unionByName(_carried(of_hot))
     # one exchange that serves both windows
-    walked = _walk(events.unionByName(carried).repartition(*OWNER, *SLOT))
+    walked = _walk(slotted.repartition(*OWNER, *SLOT))
     by_slot = walked.where("closing = 0").groupBy(*OWNER, *SLOT).agg(
-        F.max("exposure").alias("peak"), F.min("id").alias("first_id"), *[F.min_by(c, "id").alias(c) for c in HOLDER])
-    return by_slot.groupBy(*OWNER).agg(
-        F.max("peak").alias("max_total_lots"), *[F.min_by(c, "first_id").alias(c) for c in HOLDER])
+        F.max("exposure").alias("peak"), F.min("id").alias("first_id"))
+    return by_slot.groupBy(*OWNER).agg(F.max("peak").alias("peak"), F.min("first_id").alias("first_id"))
+
+
+def nets(legs: DataFrame, window: tuple[str, str], before: DataFrame | None = None) -> DataFrame:
+    """(login, asset_class, symbol) with the net lot units live at the end of a window, but for nets of 0.
+
+    ``before`` holds the nets at its start; ``legs`` need only those that open or close in it.
+    """
+    changes = _events(legs, window).select(*OWNER, "symbol", "change")
+    if before is not None:
+        changes = changes.unionByName(before.select(*OWNER, "symbol", F.col("net").alias("change")))
+    return changes.groupBy(*OWNER, "symbol").agg(F.sum("change").alias("net")).where("net <> 0")
+
+
+def with_holders(found: DataFrame, legs: DataFrame) -> DataFrame:
+    """``peaks`` with the account data of the first trade. The texts meet the result only, not the events."""
+    first = found.withColumnRenamed("first_id", "id").join(legs.select(*OWNER, "id", *HOLDER), [*OWNER, "id"])
+    # rows that repeat an id make one row, by the smaller values
+    one = first.groupBy(*OWNER, "id", "peak").agg(F.min(F.struct(*HOLDER)).alias("holder"))
+    return one.select(*OWNER, "peak", F.col("id").alias("first_id"), "holder.*")
+
+
+def in_lots(found: DataFrame) -> DataFrame:
+    lots = F.col("peak").cast("decimal(20,0)") / LOT_UNITS
+    return found.select(*OWNER, lots.cast(f"decimal(26,{LOTS.scale})").alias("max_total_lots"), *HOLDER)
 
 
 def max_exposure(trades: DataFrame, limits=K.EXPOSURE_LIMITS, stage=None, **options) -> DataFrame:
@@ -189,17 +241,22 @@ def max_exposure(trades: DataFrame, limits=K.EXPOSURE_LIMITS, stage=None, **opti
     trades themselves are read once; without it, nothing runs yet.
     """
     legs = exposure_legs(trades, limits)
-    found = peaks(stage(legs, "exposure-legs") if stage else legs, **options)
-    lots = F.col("max_total_lots").cast("decimal(20,0)") / LOT_UNITS
-    return found.withColumn("max_total_lots", lots.cast(f"decimal(26,{LOTS.scale})"))
+    if stage:
+        legs = stage(legs, "exposure-legs")
+    return in_lots(with_holders(peaks(legs, stage=stage, **options), legs))
 
 
 def exposure_breaches(trades: DataFrame, limits=K.EXPOSURE_LIMITS, **options) -> DataFrame:
     """Logins whose largest live exposure reaches the threshold of the class."""
+    return breaches(max_exposure(trades, limits, **options), limits)
+
+
+def breaches(found: DataFrame, limits=K.EXPOSURE_LIMITS) -> DataFrame:
+    """Rows of ``max_exposure`` that reach the threshold of their class."""
     threshold = F
     for name, (lots, _) in limits.items():
         threshold = threshold.when(F.col("asset_class") == name, F.lit(lots))
-    return max_exposure(trades, limits, **options).where(F.col("max_total_lots") >= threshold).select(
+    return found.where(F.col("max_total_lots") >= threshold).select(
         "asset_class",
         "login",
         F.col("max_total_lots").cast("double").alias("max_total_lots"),

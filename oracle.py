@@ -352,6 +352,7 @@ def _exposure() -> dict[str, str]:
     )
     out = {f"exposure_{n.lower()}": f"{breaches(n)} SELECT {', '.join(columns)} FROM b" for n in K.EXPOSURE_LIMITS}
     out["exposure_sliced"] = f"{breaches(*K.EXPOSURE_LIMITS)} SELECT asset_class, {', '.join(columns)} FROM b"
+    out["exposure_of_segments"] = out["exposure_sliced"]
     out["exposure_combined"] = f"""{breaches(*K.EXPOSURE_LIMITS)},
         p AS (SELECT *, row_number() OVER (PARTITION BY asset_class ORDER BY login) AS position FROM b)
         SELECT position, {cells} FROM p GROUP BY position"""

@@ -6,8 +6,10 @@ from decimal import Decimal
 
 import pytest
 
-from helpers import trades
+from helpers import epoch, rows, trades
 from lotwise.operators.exposure import exposure_breaches, max_exposure
+from lotwise.operators.lineage import stored
+from lotwise.plans.exposure_days import exposure_of_segments, store_segment
 from lotwise.plans.exposures import class_exposure, exposure_combined
 
 ANY = {"Forex": (0, None)}
@@ -146,3 +148,40 @@ def test_combined_aligns_by_position(spark):
     assert (got[2].commodities_login, got[2].crypto_login) == (9, None)
     assert got[2].commodities_max_total_lots == 20.0
     assert len(got) == 2 and len(got[1]) == 25
+
+
+@pytest.mark.parametrize("options", [{}, {"hot_trades": 20, "slice_trades": 5, "block_bits": 1}])
+def test_chained_segments_equal_one_run(spark, random_case, tmp_path, options):
+    df, expected = random_case
+    # cuts within the bursts, within a second's neighbours, and at a time without trades
+    cuts = ["2024-08-21 00:00:00", "2024-08-21 23:46:42", "2024-08-21 23:46:43", "2024-08-22 12:00:00", "2024-08-30 00:00:00"]
+    for number, (start, end) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+        store_segment(df, str(tmp_path), start, end, opening=number == 0, limits=ANY, **options)
+    got = exposure_of_segments(spark, str(tmp_path), cuts[:-1], ANY)
+    assert {r.login: Decimal(str(r.max_total_lots)) for r in got.collect()} == expected
+    assert rows(got) == rows(exposure_breaches(df, ANY))
+    # a segment stored again changes nothing, and no segment starts without the nets of the one before
+    store_segment(df, str(tmp_path), cuts[1], cuts[2], limits=ANY, **options)
+    assert rows(exposure_of_segments(spark, str(tmp_path), cuts[:-1], ANY)) == rows(got)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        store_segment(df, str(tmp_path), "2024-09-09", "2024-09-10", limits=ANY)
+
+
+def test_a_segment_reads_only_its_own_trades(spark, tmp_path):
+    t = epoch("2024-08-21 12:00:00")
+    held = {"id": 1, "open_time": t, "close_time": t + 5 * 86400, "final_lot": 4}
+    over = {"id": 2, "open_time": t + 86400, "close_time": t + 86500, "final_lot": 3}
+    root = str(tmp_path)
+    store_segment(trades(spark, [held]), root, "2024-08-21", "2024-08-22", opening=True, limits=ANY)
+    store_segment(trades(spark, [over]), root, "2024-08-22", "2024-08-23", limits=ANY)
+    assert [r.max_total_lots for r in exposure_of_segments(spark, root, ["2024-08-22"], ANY).collect()] == [7.0]
+
+
+def test_without_a_hot_login_the_legs_are_read_three_times(spark, random_case, tmp_path):
+    df, _ = random_case
+    plan = max_exposure(df, ANY, stage=stored)._jdf.queryExecution().optimizedPlan().toString()
+    # the walk and the account data; the third is the search for hot logins, done by now
+    assert plan.count("Relation [") == 2
+    assert plan.count("Window [") == 2
+    walked = plan[plan.index("Window ["):]
+    assert "breachedby" not in walked[:walked.index("Relation [")]
