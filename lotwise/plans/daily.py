@@ -18,7 +18,7 @@ from lotwise.operators.lineage import shared_dir
 from lotwise.operators.shared import grains, holders
 from lotwise.plans.catalog import CHECKS, shared_builders
 from lotwise.session import tune
-from lotwise.sources.enriched import read_enriched, write_enriched
+from lotwise.sources.enriched import read_enriched, split_enriched_csv, write_enriched
 from lotwise.sources.reports import write_reports
 from lotwise.sources.tables import BrokerTables
 
@@ -66,3 +66,22 @@ def run_day(
     path = f"{root.rstrip('/')}/enriched"
     extract_day(tables, report_date, path, utc_offset_hours)
     report_day(read_enriched(spark, path, report_date), root.rstrip("/"), report_date, parallel)
+
+
+def run_csv_day(
+    spark: SparkSession, path: str, report_date: str, root: str, max_rejected: int = 1000, parallel: int = 4,
+) -> None:
+    """The reports of a date from CSV files; rows that cannot be read go to ``<root>/rejected`` by report date.
+
+    With more than ``max_rejected`` such rows nothing is reported: the job fails after it has listed them.
+    """
+    shared_dir(spark)  # a missing setting is an error before anything is written
+    tune(spark)
+    root = root.rstrip("/")
+    trades, rejected = split_enriched_csv(spark, path)
+    listed = f"{root}/rejected/report_date={report_date}"
+    rejected.write.mode("overwrite").parquet(listed)
+    if (count := spark.read.schema(rejected.schema).parquet(listed).count()) > max_rejected:
+        raise ValueError(f"{count} rows of {path} cannot be read, more than {max_rejected}; they are listed in {listed}")
+    write_enriched(normalize_times(trades.drop("report_date")), f"{root}/enriched", report_date)
+    report_day(read_enriched(spark, f"{root}/enriched", report_date), root, report_date, parallel)

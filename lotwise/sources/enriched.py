@@ -11,8 +11,9 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from lotwise import constants as K
+from lotwise.functions.clock import LAST_EPOCH_SECOND
 from lotwise.schemas import ENRICHED
-from lotwise.sources.tables import exact
+from lotwise.sources.tables import unrounded, exact, fitting
 
 CSV_NAMES = {"final_lot": "FinalLot"}
 # Kept as text by the CSV reader: `normalize_times` decides what is an error.
@@ -88,32 +89,96 @@ def read_enriched_csv(spark: SparkSession, path: str, nulls=K.CSV_NULLS) -> Data
     return reduce(DataFrame.unionByName, parts)
 
 
-def _read_one_header(spark: SparkSession, names: list[str], files: list[str], nulls) -> DataFrame:
+def split_enriched_csv(spark: SparkSession, path: str, nulls=K.CSV_NULLS) -> tuple[DataFrame, DataFrame]:
+    """``read_enriched_csv`` that goes on over rows it cannot read: (rows, rejected).
+
+    Rejected rows have ``file``, ``reason`` and ``text``. The reason names every column whose cell is no number, no time,
+    too fine or too large for its type; or says that the row has not as many cells as the header. Nothing is rounded
+    or filled in. Close times are no reason, as ``normalize_times`` takes any. Both results read the files.
+    """
+    groups = _csv_files(spark, path)
+    if not groups:
+        return read_enriched_csv(spark, path, nulls), spark.createDataFrame([], "file string, reason string, text string")
+    checked = reduce(DataFrame.unionByName, [_check_one_header(spark, list(n), f, nulls) for n, f in groups.items()])
+    return (checked.where("rejected IS NULL").drop("rejected"), checked.where("rejected IS NOT NULL").select("rejected.*"))
+
+
+_CORRUPT = "corrupt"
+
+
+def _cells(spark: SparkSession, names: list[str], files: list[str], nulls, checked: bool = False):
+    """The cells of the files as text, and the SQL of a field's cell, None where the files have no such column."""
     if missing := [name for name in _wanted() if name not in names]:
         raise ValueError(f"columns {missing} are missing in {files[0]}")
     # Text first: the null spellings have to go before any cast.
     layout = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
-    raw = spark.read.options(**CSV_OPTIONS, enforceSchema=True).schema(layout).csv(files)
+    reader = spark.read.options(**CSV_OPTIONS, enforceSchema=True)
+    if checked:
+        # cells are counted only where none are pruned
+        layout = T.StructType([*layout.fields, T.StructField(_CORRUPT, T.StringType())])
+        reader = reader.options(columnNameOfCorruptRecord=_CORRUPT, columnPruning=False)
     place = {name: f"c{i}" for i, name in enumerate(names)}
 
+    def text(field: T.StructField) -> str | None:
+        cell = place.get(CSV_NAMES.get(field.name, field.name))
+        return cell and f"(CASE WHEN {cell} NOT IN ({', '.join(repr(n) for n in nulls)}) THEN {cell} END)"
+
+    return reader.schema(layout).csv(files), text
+
+
+def _report_date():
+    date = F.regexp_extract(F.col("_metadata.file_name"), DATE_IN_NAME, 1)
+    return F.when(date != "", date).alias("report_date")
+
+
+def _read_one_header(spark: SparkSession, names: list[str], files: list[str], nulls) -> DataFrame:
+    raw, text = _cells(spark, names, files, nulls)
+
     def column(field: T.StructField):
-        name = CSV_NAMES.get(field.name, field.name)
-        if name not in place:
+        cell = text(field)
+        if cell is None:
             return F.lit(None).cast(field.dataType).alias(field.name)
-        cell = place[name]
-        text = f"CASE WHEN {cell} NOT IN ({', '.join(repr(n) for n in nulls)}) THEN {cell} END"
         if field.name in CSV_TEXT_TIMES or isinstance(field.dataType, T.StringType):
-            return F.expr(text).alias(field.name)
+            return F.expr(cell).alias(field.name)
         if isinstance(field.dataType, (T.LongType, T.IntegerType)):
             # whole numbers may be spelled "5.0" where the column has nulls
-            return F.expr(text).cast("decimal(38,4)").cast(field.dataType).alias(field.name)
-        return F.expr(exact(f"({text})", field.name, T.StringType(), field.dataType)).alias(field.name)
-
-    date = F.regexp_extract(F.col("_metadata.file_name"), DATE_IN_NAME, 1)
+            return F.expr(cell).cast("decimal(38,4)").cast(field.dataType).alias(field.name)
+        return F.expr(exact(cell, field.name, T.StringType(), field.dataType)).alias(field.name)
+
+    return raw.select(*[column(f) for f in ENRICHED.fields], _report_date())
+
+
+def _check_one_header(spark: SparkSession, names: list[str], files: list[str], nulls) -> DataFrame:
+    raw, text = _cells(spark, names, files, nulls, checked=True)
+    columns, reasons = [], [f"CASE WHEN {_CORRUPT} IS NOT NULL THEN 'number of cells' END"]
+
+    def refuse_unless(fits: str, cell: str, field: T.StructField) -> None:
+        reasons.append(f"CASE WHEN {cell} IS NOT NULL AND NOT coalesce({fits}, false) THEN '{field.name}' END")
+
+    for field in ENRICHED.fields:
+        cell, kind = text(field), field.dataType
+        value = cell
+        if cell is None:
+            value = "NULL"
+        elif field.name == "open_time":
+            refuse_unless(f"try_cast(try_cast({cell} AS double) AS bigint) BETWEEN {-LAST_EPOCH_SECOND} AND {LAST_EPOCH_SECOND}", cell, field)
+        elif field.name == "open_time_str":
+            refuse_unless(f"try_cast({cell} AS timestamp_ntz) IS NOT NULL", cell, field)
+        elif isinstance(kind, T.DecimalType):
+            value, fits = fitting(cell, T.StringType(), kind)
+            refuse_unless(fits, cell, field)
+        elif isinstance(kind, (T.LongType, T.IntegerType)) and field.name not in CSV_TEXT_TIMES:
+            # whole numbers may be spelled "5.0" where the column has nulls
+            value = f"try_cast(try_cast({cell} AS decimal(38, 18)) AS {kind.simpleString()})"
+            refuse_unless(f"{unrounded(cell, 0)} AND {value} IS NOT NULL", cell, field)
+        kept = T.StringType() if field.name in CSV_TEXT_TIMES else kind
+        columns.append(F.expr(value).cast(kept).alias(field.name))
+    found = F.expr(f"concat_ws(', ', {', '.join(reasons)})")
+    record = F.coalesce(F.col(_CORRUPT), F.to_csv(F.struct(*[f"c{i}" for i in range(len(names))])))
     return raw.select(
-        *[column(f) for f in ENRICHED.fields],
-        F.when(date != "", date).alias("report_date"),
-    )
+        *columns, _report_date(),
+        F.when(found != "", F.struct(F.col("_metadata.file_path").alias("file"), found.alias("reason"), record.alias("text")))
+        .alias("rejected"))
 
 
 def write_enriched_csv(enriched: DataFrame, path: str) -> None:

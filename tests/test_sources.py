@@ -9,14 +9,14 @@ from lotwise.functions.clock import day_bounds, normalize_times
 from lotwise.operators.extract import enrich, extract_accounts, extract_trades
 from lotwise.operators.joins import are_small
 from lotwise.plans.catalog import CHECKS, REPORTS, build_reports
-from lotwise.plans.daily import run_day
+from lotwise.plans.daily import run_csv_day, run_day
 from lotwise.schemas import ENRICHED, MONEY
 from lotwise.sources.enriched import (
-    CSV_NAMES, CSV_OPTIONAL, read_enriched, read_enriched_csv, write_enriched, write_enriched_csv,
+    CSV_NAMES, CSV_OPTIONAL, read_enriched, read_enriched_csv, split_enriched_csv, write_enriched, write_enriched_csv,
 )
 from lotwise.sources.reports import read_report, report_names, write_reports
 from lotwise.sources.sample import sample_tables
-from lotwise.sources.tables import TABLE_SCHEMAS, conform, read_jdbc_tables, read_parquet_tables
+from lotwise.sources.tables import TABLE_SCHEMAS, conform, count_tables, read_jdbc_tables, read_parquet_tables
 
 SF = "/root/testdata/sf0.001"
 
@@ -270,7 +270,7 @@ def test_jdbc_reads_the_window_and_its_accounts(spark, broker_root):
     frames = {name: getattr(read_parquet_tables(spark, broker_root), name) for name in TABLE_SCHEMAS}
     first, last = day_bounds("2024-01-15")
     recorder = Recorder(frames)
-    tables = read_jdbc_tables(recorder, "jdbc:mysql://db", {"user": "u"}, (first, last), partitions=8)
+    tables = read_jdbc_tables(recorder, "jdbc:mysql://db", {"user": "u"}, (first, last), partitions=8, balanced=False)
     calls = dict(recorder.calls)
     trades = calls.pop("trades")
     assert trades["url"] == "jdbc:mysql://db" and trades["properties"] == {"fetchsize": "10000", "user": "u"}
@@ -311,3 +311,59 @@ def test_amounts_are_kept_or_refused(spark):
     for value, kind in ((1.0000004, "double"), ("0.00000049", "string"), ("x", "string"), (Decimal("1.00000001"), "decimal(20,8)"), (1e15, "double")):
         with pytest.raises(Exception, match="column profit"):
             read([value], kind)
+
+
+def test_jdbc_ranges_hold_about_equal_rows(spark, broker_root):
+    frames = {name: getattr(read_parquet_tables(spark, broker_root), name) for name in TABLE_SCHEMAS}
+    window = first, last = day_bounds("2024-01-15")
+    # 90 % open in one hour, a tenth of all in one second of it; some only close in the window
+    opened = (f"CASE WHEN id % 10 = 0 THEN {first} + id * 8 % 86400 WHEN id % 10 = 1 THEN {first} + 36000"
+              f" ELSE {first} + 36000 + id % 3600 END")
+    rows_ = spark.range(10_000).selectExpr(
+        "id", f"CASE WHEN id % 50 = 0 THEN {first} - id WHEN id % 50 = 10 THEN NULL ELSE {opened} END AS open_time")
+    rows_ = rows_.selectExpr("*", f"CASE WHEN id % 77 = 1 THEN NULL ELSE {first} + id % 7200 END AS close_time")
+    frames["trades"] = conform(frames["trades"].limit(0).unionByName(rows_, allowMissingColumns=True), TABLE_SCHEMAS["trades"])
+    frames["trades"].createOrReplaceTempView("trades")
+    for time, query in count_tables(window).items():
+        frames[f"{time}_counts"] = spark.sql(f"SELECT * FROM {query}")
+    recorder = Recorder(frames)
+    read_jdbc_tables(recorder, "jdbc:mysql://db", {}, window, partitions=16)
+    predicates = dict(recorder.calls)["trades"]["predicates"]
+    held = spark.sql("SELECT " + ", ".join(f"count_if({p}) AS p{i}" for i, p in enumerate(predicates)) + " FROM trades").first()
+    assert sum(held) == extract_trades(frames["trades"], window).count()
+    covered = spark.sql("SELECT max(" + " + ".join(f"int(coalesce({p}, false))" for p in predicates) + ") FROM trades").first()[0]
+    assert covered == 1
+    share = sum(held) / 16
+    assert len(held) <= 24 and max(held) <= 1.05 * share
+    # but for the rests in front of the full second and at the two ends, none is under half a share
+    assert sum(h < share / 2 for h in held) <= 3
+
+
+def test_csv_rows_that_cannot_be_read_are_listed(spark, tmp_path):
+    names = "id,login,profit,open_time,open_time_str,volume".split(",")
+    bad = [
+        "2,70001,1.00000049,1724284700,2024-08-22 03:00:00,1", "3,70001,x,soon,2024-08-22 03:00:00,1",
+        "4,70001,1,1724284700,yesterday,1", "5,70001,1,1724284700,2024-08-22 03:00:00,5.5", "99999999999999999999,70001,1,,,",
+    ]
+    good = ["1,70001,1.005,1724284700,2024-08-22 03:00:00,5.0", "6,70001,NA,,,", "7,70002,-3,1724284700.0,2024-08-22 03:00:00,2"]
+    path = write_csv(tmp_path / "in_2024-08-22.csv", names, *good, *bad)
+    with open(path, "a") as more:
+        more.write("8,70001,1\n")
+    rows_, rejected = split_enriched_csv(spark, path)
+    assert [(r.id, r.profit, r.volume) for r in rows_.orderBy("id").collect()] == [
+        (1, Decimal("1.005"), 5), (6, None, None), (7, Decimal("-3"), 2)]
+    found = {r.text.split(",")[0]: r for r in rejected.collect()}
+    assert {i: r.reason for i, r in found.items()} == {
+        "2": "profit", "3": "open_time, profit", "4": "open_time_str", "5": "volume", "99999999999999999999": "id", "8": "number of cells"}
+    assert found["2"].text.startswith(bad[0]) and found["8"].text == "8,70001,1"
+    assert all(r.file.endswith("in_2024-08-22.csv") for r in found.values())
+    # what both readers can read they read alike
+    (tmp_path / "fine").mkdir()
+    fine = write_csv(tmp_path / "fine" / "in_2024-08-22.csv", names, *good)
+    assert rows_.schema == read_enriched_csv(spark, fine).schema
+    assert rows(rows_) == rows(read_enriched_csv(spark, fine))
+    assert split_enriched_csv(spark, fine)[1].count() == 0
+    with pytest.raises(ValueError, match="6 rows"):
+        run_csv_day(spark, path, "2024-08-22", str(tmp_path / "out"), max_rejected=5)
+    assert spark.read.parquet(str(tmp_path / "out" / "rejected")).count() == 6
+    assert not (tmp_path / "out" / "reports").exists()
