@@ -8,6 +8,10 @@ crossover injects whole well-filled bins of one parent into another, dissolves t
 bins that hold a duplicate, and best-fits the displaced pieces. Between epochs the
 best individual of each island migrates to the next island of the block. A block
 whose best packing meets the lower bound is not evolved further.
+
+The pieces of the emptiest bins of all blocks meet again in further rounds, in new
+and fewer blocks, until a round has one block; so the corpus, not each block, has
+a last bin that is not well filled.
 """
 
 from __future__ import annotations
@@ -31,6 +35,9 @@ ISLANDS = 2
 POPULATION = 4
 GENERATIONS = 3
 EPOCHS = 2
+# Share of a block's bins, the emptiest ones, whose pieces meet those of other blocks in the next round,
+# as long as they hold at most half of its pieces.
+AGAIN = 0.125
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 # For these characters both tokenizer libraries split words alike; a test compares them.
@@ -242,7 +249,17 @@ def _islands(blocks: DataFrame, islands: int, population: int, generations: int,
     ).select(F.col("block").alias("packed_block"), "best.packing")
 
 
-def _place(capacity: int):
+def emptiest(bins: np.ndarray, lengths: np.ndarray, capacity: int, share: float = AGAIN) -> np.ndarray:
+    """True for the pieces of the emptiest bins, see ``AGAIN``; full bins stay."""
+    fills = np.bincount(bins, weights=lengths)
+    order = np.argsort(fills, kind="stable")
+    order = order[: max(1, int(share * len(fills)))]
+    held = np.cumsum(np.bincount(bins)[order])
+    order = order[(2 * held <= len(bins)) & (fills[order] < capacity)]
+    return np.isin(bins, order)
+
+
+def _place(capacity: int, first_block: int, last: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
@@ -258,8 +275,9 @@ def _place(capacity: int):
                 types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([
                     *[pa.array([m[n] for m in row["members"]], t) for n, t in zip(names, types, strict=True)],
-                    pa.array(row["block"] * capacity * BLOCK_PIECES + bins, pa.int64()), pa.array(offsets, pa.int64()),
-                ], [*names, "sequence_id", "offset"])
+                    pa.array((first_block + row["block"]) * capacity * (1 << 13) + bins, pa.int64()), pa.array(offsets, pa.int64()),
+                    pa.array(np.zeros(len(bins), bool) if last else emptiest(bins, lengths, capacity)),
+                ], [*names, "sequence_id", "offset", "again"])
 
     return run
 
@@ -281,17 +299,25 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabu
     row = F.monotonically_increasing_id()
     full = cut_up.where(F.col("length") == capacity).select(
         "*", (-1 - row).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    part = cut_up.where(F.col("length") < capacity)
-    n_blocks = max(1, round(part.count() / block_pieces))
-    # by place in the stored table, so that repeated rows spread as well
-    dealt = part.withColumn("block", F.pmod(F.xxhash64(row), F.lit(n_blocks)))
-    member = F.struct(F.expr("-length").alias("key"), "doc_id", "piece", "start", "length", "ids_crc32")
-    blocks = dealt.groupBy("block").agg(F.sort_array(F.collect_list(member)).alias("members"))
-    blocks = stored(blocks, "blocks")
-    packed = _islands(map_arrow(blocks, _lengths, "block bigint, lengths binary"),
-                      islands, population, generations, epochs, capacity)
-    placed = blocks.join(packed, F.col("block") == F.col("packed_block")).select("block", "members", "packing")
-    return map_arrow(placed, _place(capacity), f"{PIECES}, sequence_id bigint, offset bigint").unionByName(full)
+    part, result, first_block = cut_up.where(F.col("length") < capacity), full, 0
+    while True:
+        n_blocks = max(1, round(part.count() / block_pieces))
+        # by place in the stored table, so that repeated rows spread as well
+        dealt = part.withColumn("block", F.pmod(F.xxhash64(row), F.lit(n_blocks)))
+        member = F.struct(F.expr("-length").alias("key"), "doc_id", "piece", "start", "length", "ids_crc32")
+        blocks = dealt.groupBy("block").agg(F.sort_array(F.collect_list(member)).alias("members"))
+        blocks = stored(blocks, "blocks")
+        packed = _islands(map_arrow(blocks, _lengths, "block bigint, lengths binary"),
+                          islands, population, generations, epochs, capacity)
+        placed = blocks.join(packed, F.col("block") == F.col("packed_block")).select("block", "members", "packing")
+        last = n_blocks == 1
+        placed = map_arrow(placed, _place(capacity, first_block, last), f"{PIECES}, sequence_id bigint, offset bigint, again boolean")
+        if last:
+            return placed.drop("again").unionByName(result)
+        placed = stored(placed, "placed")
+        result = placed.where("NOT again").drop("again").unionByName(result)
+        # at most half of the pieces of this round, so rounds are a logarithm of the corpus
+        part, first_block = stored(placed.where("again").select(*cut_up.columns), "again"), first_block + n_blocks
 
 
 def _lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
