@@ -4,10 +4,11 @@ A candidate block is a run of words around one that speaks of a licence. It begi
 ends at a line, at a mark between words, or where a template would, and goes on over
 line ends and blank lines. Every template is the raw zstandard dictionary of a
 compressor; the more a template shortens a block, the more of it the template explains.
-A template that explains enough is confirmed by the exact differences between its words
-and the block's: enough must be equal, and no difference may touch a licence's name or
-a number. Blocks that could not be confirmed, as too few of a template's words or not
-all of its names and numbers occur in them, are not compressed.
+Each block is compressed with every template, and the largest reductions come first.
+They are confirmed by the exact differences between the template's words and the
+block's: enough must be equal, and no difference may touch a licence's name or
+a number. Only blocks that no template could be confirmed for, as too few of its words
+or not all of its names and numbers occur in them, are not compressed.
 
 Spark selects the documents that have a cue at all; tasks compress their blocks.
 """
@@ -147,12 +148,17 @@ class Templates:
 
     def ranked(self, block: str) -> list[tuple[float, int]]:
         """Size reductions by the templates, the largest first; ties by the templates' order."""
-        found = [(self.reduction(words_of(block), i), -i) for i in range(len(self.given))]
-        return [(reduction, -i) for reduction, i in sorted(found, reverse=True)]
+        return [(reduction, t) for _, reduction, t in self.reductions(words_of(block))]
 
-    def reduction(self, block: list[str], template: int) -> float:
+    def reductions(self, block: list[str]) -> list[tuple[int, float, int]]:
+        """Bytes that each template saves less those it leaves, its size reduction, and the template; the largest first.
+
+        Within a block both have one order. Between blocks, the words of a notice count for one, and words around it against it.
+        """
         content = " ".join(block).encode()
-        return 1 - len(self.given[template].compress(content)) / len(self.alone.compress(content))
+        alone = len(self.alone.compress(content))
+        left = [len(given.compress(content)) for given in self.given]
+        return sorted(((alone - 2 * n, 1 - n / alone, t) for t, n in enumerate(left)), key=lambda x: (-x[0], x[2]))
 
     def differences(self, block: list[str], template: int) -> tuple[float, list[str], bool]:
         """Share of words in common, the exact differences, and whether they leave the licence the same.
@@ -183,8 +189,12 @@ def _cuts(text: str, places: list[re.Match], words: list[str], templates: Templa
     return [*found, len(words)]
 
 
-def blocks(words: list[str], cues: list[int], cuts: list[int], templates: Templates) -> set[tuple[float, int, int, int]]:
-    """Candidate blocks around words with a cue: most words explained, first word, end, template."""
+def blocks(words: list[str], cues: list[int], cuts: list[int], templates: Templates) -> set[tuple[int, int]]:
+    """Candidate blocks around words with a cue: first word and end.
+
+    A block is left out only if no template can be confirmed for it: each has too few words in common with the block,
+    in any order, or a name or number that the block lacks. Counts of words decide nothing else.
+    """
     found = set()
     longest = max((templates.most(t) for t in range(len(templates.words))), default=0)
     tried: set[tuple[int, int]] = set()
@@ -211,14 +221,17 @@ def blocks(words: list[str], cues: list[int], cuts: list[int], templates: Templa
                             left[w] -= 1
                             common += 1
                     k = end
-                    alike = common / max(len(own), end - start)
-                    if alike >= MIN_ALIKE and nearest < end and all(left[w] < counts[w] for w in needed):
-                        found.add((common * alike, start, end, t))
+                    if common / max(len(own), end - start) >= MIN_ALIKE and nearest < end and all(left[w] < counts[w] for w in needed):
+                        found.add((start, end))
     return found
 
 
 def scan_text(text: str, templates: Templates) -> list[dict]:
-    """Confirmed notices: of overlapping blocks the one of which the template explains most, in the order of the text."""
+    """Confirmed notices, in the order of the text.
+
+    Every block is compressed with every template, and the pairs are confirmed in the order of ``Templates.reductions``;
+    what overlaps a confirmed notice is passed over.
+    """
     text = text.lower()
     places = list(_WORD.finditer(text))
     if not places or not templates.words:
@@ -227,27 +240,22 @@ def scan_text(text: str, templates: Templates) -> list[dict]:
     cues = sorted({max(0, bisect_right(starts, m.start()) - 1) for m in _CUE.finditer(text)})
     if not cues:
         return []
-    queue = [(-most, end - start, start, t, None) for most, start, end, t in blocks(words, cues, _cuts(text, places, words, templates), templates)]
-    heapq.heapify(queue)
+    queue = [
+        (-gain, end - start, start, t, reduction)
+        for start, end in blocks(words, cues, _cuts(text, places, words, templates), templates)
+        for gain, reduction, t in templates.reductions(words[start:end])
+        if reduction >= MIN_REDUCTION
+    ]
     found: list[tuple[int, int, dict]] = []
-    while queue:
-        most, n, start, t, notice = heapq.heappop(queue)
+    for _, n, start, t, reduction in sorted(queue):
         if any(start < e and b < start + n for b, e, _ in found):
             continue
-        if notice:
-            found.append((start, start + n, notice))
-            continue
-        block = words[start:start + n]
-        reduction = templates.reduction(block, t)
-        if reduction < MIN_REDUCTION:
-            continue
-        alike, edits, same_licence = templates.differences(block, t)
+        alike, edits, same_licence = templates.differences(words[start:start + n], t)
         if same_licence and alike >= MIN_ALIKE:
             line = text.count("\n", 0, starts[start])
-            notice = {"line": line, "n_lines": text.count("\n", starts[start], starts[start + n - 1]) + 1,
-                      "license": templates.names[t], "reduction": reduction, "alike": alike, "differences": edits}
-            # the words in common are at most those of the candidate, so it queues again
-            heapq.heappush(queue, (-alike * alike * max(n, len(templates.words[t])), n, start, t, notice))
+            found.append((start, start + n, {
+                "line": line, "n_lines": text.count("\n", starts[start], starts[start + n - 1]) + 1,
+                "license": templates.names[t], "reduction": reduction, "alike": alike, "differences": edits}))
     return [notice for _, _, notice in sorted(found, key=lambda x: x[0])]
 
 
@@ -277,8 +285,9 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, tuple[str, ...]] = TE
 
     Lines count from 0. Null and empty texts have no notice. Repeated rows give
     their notices again, a null doc_id stays null, other columns are not read. Of
-    overlapping blocks the one with most words explained is given, of equal ones the
-    shorter; ties between templates go to the first.
+    overlapping blocks that can be confirmed the one with the largest reduction in bytes, less
+    the bytes that remain, is given, of equal ones the shorter, then the earlier; ties between
+    templates go to the first.
     """
     rows = docs.select(F.col(quoted(id_col)).cast("long").alias("doc_id"), F.col(quoted(text_col)).alias("text"))
     return map_arrow(rows.where(F.col("text").rlike(CUE)), _scan(dict(templates), level), _SCHEMA)

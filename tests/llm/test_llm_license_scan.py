@@ -1,7 +1,9 @@
+import difflib
 import re
 import textwrap
 
 import pytest
+import zstandard
 
 from lotwise.llm import license_scan as scan
 from llm_helpers import documents
@@ -95,3 +97,65 @@ def test_every_template_in_a_longer_line(known):
 def test_cue_over_a_line_end(spark):
     rows = [(1, "This is free and unencumbered software released into the public\n# domain.")]
     assert [r.license for r in scan.scan_licenses(documents(spark, rows)).collect()] == ["Unlicense"]
+
+
+def by_definition(text, texts):
+    """Every pair of cuts around a cue, compressed with every template; the most bytes saved, less those left, first."""
+    known = scan.Templates(texts)
+    text = text.lower()
+    places = list(scan._WORD.finditer(text))
+    words = [m[0] for m in places]
+    cues = [max([k for k, p in enumerate(places) if p.start() <= m.start()], default=0) for m in scan._CUE.finditer(text)]
+    cuts = scan._cuts(text, places, words, known)
+    dictionaries = [zstandard.ZstdCompressionDict(" ".join(w).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT) for w in known.words]
+
+    def size(content, dictionary=None):
+        return len(zstandard.ZstdCompressor(level=scan.LEVEL, write_content_size=False, dict_data=dictionary).compress(content))
+
+    pairs = []
+    for start in cuts:
+        for end in cuts:
+            if end - start <= 60 and any(start <= c < end for c in cues):
+                content = " ".join(words[start:end]).encode()
+                alone = size(content)
+                pairs += [(2 * (left := size(content, d)) - alone, end - start, start, t, 1 - left / alone) for t, d in enumerate(dictionaries)]
+    kept = []
+    for _, n, start, t, reduction in sorted(pairs):
+        block, own = words[start:start + n], known.words[t]
+        if reduction < scan.MIN_REDUCTION or any(start < b + m and b < start + n for b, m, *_ in kept):
+            continue
+        steps = difflib.SequenceMatcher(None, own, block, autojunk=False).get_opcodes()
+        alike = sum(i2 - i1 for op, i1, i2, _, _ in steps if op == "equal") / max(len(own), n)
+        if alike >= scan.MIN_ALIKE and known.differences(block, t)[2]:
+            kept.append((start, n, known.names[t], reduction, alike))
+    return [(name, reduction, alike) for _, _, name, reduction, alike in sorted(kept)]
+
+
+SHORT = {name: tuple(t for t in texts if len(t) < 200) for name, texts in scan.TEMPLATES.items()}
+
+
+@pytest.mark.parametrize("text", [
+    "We hold the copyright. Released under the MIT license; see there. Licensed under CC BY-SA 4.0, or CC BY 4.0.",
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.\nSPDX-License-Identifier: MIT\n",
+    "this program is licensed under the gnu general public license, version 3, and the gnu general public license, version 2",
+    "Licensed under the terms of the Apache License, Version 2.0. Released into the public domain, under CC0 1.0 of course.",
+    "copyright copyright, copyright. license (public domain)",
+])
+def test_equals_every_block_with_every_template(text):
+    found = [(f["license"], f["reduction"], f["alike"]) for f in scan.scan_text(text, scan.Templates(SHORT))]
+    assert found == by_definition(text, SHORT)
+
+
+def test_the_larger_reduction_is_confirmed_first():
+    # the first template explains more words, the second one more bytes; one word is in both
+    texts = {"A": ("it is so as to be of a licence",), "B": ("licence notwithstanding internationally incomprehensible obligations",)}
+    text = "It is so as to be of a licence notwithstanding internationally incomprehensible obligations"
+    assert [f["license"] for f in scan.scan_text(text, scan.Templates(texts))] == ["B"] == [name for name, _, _ in by_definition(text, texts)]
+
+
+def test_every_template_takes_part_for_every_block(monkeypatch):
+    known, asked = scan.Templates(SHORT), []
+    reductions = scan.Templates.reductions
+    monkeypatch.setattr(scan.Templates, "reductions", lambda self, block: asked.append(len(r := reductions(self, block))) or r)
+    assert [f["license"] for f in scan.scan_text("Released under the MIT License.", known)] == ["MIT"]
+    assert asked and set(asked) == {len(known.words)}
