@@ -11,7 +11,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lotwise.operators.shared import GRAINS, grain, grains, holders, merged_grains, merged_holders
+from lotwise.operators.shared import GRAINS, grain, holders, merged_holders, merged_parts, parted_grains
 from lotwise.plans.catalog import SHARED, TRADELESS
 
 DAY = "open_date"
@@ -23,9 +23,10 @@ def store_days(trades: DataFrame, root: str) -> None:
     All trades of a day have to be there: what is stored of that day is replaced.
     """
     days = trades.withColumn(DAY, F.to_date("open_time")).where(F.col(DAY).isNotNull())
-    for name, table, parts in (("grains", grains(days, by=DAY), [DAY, "grain"]), ("holders", holders(days, by=DAY), [DAY])):
-        # by account within a day, so that a day that holds most rows is written by many tasks
-        spread = table.repartitionByRange(*parts, "login")
+    for name, table, parts in (("grains", parted_grains(days, by=DAY), [DAY, "grain"]), ("holders", holders(days, by=DAY), [DAY])):
+        # adaptive execution splits a day that holds most rows over many tasks and joins small ones; ranges would need
+        # a sample first, for which Spark computes all sums once more
+        spread = table.hint("rebalance", *parts)
         spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).parquet(f"{root.rstrip('/')}/{name}")
 
 
@@ -38,7 +39,7 @@ def read_days(spark: SparkSession, root: str, first: str | None = None, last: st
             table = table.where(inside) if bound else table
         return table.drop(DAY)
 
-    return merged_grains(days_of("grains")), merged_holders(days_of("holders"))
+    return merged_parts(days_of("grains")), merged_holders(days_of("holders"))
 
 
 def period_builders(spark: SparkSession, root: str, first: str | None = None, last: str | None = None):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from helpers import epoch, rows, trades
 from lotwise.functions.clock import normalize_times
 from lotwise.operators.extract import enrich
-from lotwise.operators.shared import GRAINS, grain, grains, holders, merged_grains, merged_holders
+from lotwise.operators.shared import GRAINS, PARTS, grain, grains, holders, merged_grains, merged_holders, parted_grains, whole_grains
 from lotwise.plans.catalog import REPORTS, TRADELESS, build_reports
 from lotwise.plans.period import period_builders, read_days, store_days
 from lotwise.sources.sample import sample_tables
@@ -88,3 +88,31 @@ def test_days_of_the_sample(spark, tmp_path):
     got, direct = period_builders(spark, str(tmp_path / "sums")), build_reports(t)
     for name in ("positive_pnl_traders", "swap_summary", "top_lots_per_trade_real"):
         assert rows(got[name]()) == rows(direct[name]), name
+
+
+def test_parts_of_sums_are_exact(spark, tmp_path):
+    day, most = epoch("2024-08-20 10:00:00"), 999999999999.999999
+    amounts = [(f"{sign}{units}", lot) for sign in ("", "-") for units in ("999999999999.999999", "0.000001", "1073.741824", "0") for lot in ("0.01", None)]
+    base = [{"id": n, "login": 50000001 + n % 2, "symbol": "EURUSD", "open_time": day + n * 86400 % 200000, "close_time": day} for n in range(40 * len(amounts))]
+    plain = trades(spark, base)
+    picked = F.element_at(F.array(*[F.lit(profit).cast("decimal(18,6)") for profit, _ in amounts], F.lit(None).cast("decimal(18,6)")), (F.col("id") % 17 + 1).cast("int"))
+    t = plain.withColumns({"profit": picked, "swap": -picked, "final_lot": F.when(F.col("id") % 3 > 0, picked)})
+    whole, expected = whole_grains(parted_grains(t)), grains(t)
+    assert whole.dtypes == expected.dtypes and rows(whole) == rows(expected)
+    assert max(r.positive_profit for r in expected.collect()) > 20 * int(most)
+    store_days(t, str(tmp_path / "sums"))
+    stored = spark.read.parquet(str(tmp_path / "sums/grains"))
+    assert set(PARTS) <= set(stored.columns) and "profit" not in stored.columns
+    assert rows(read_days(spark, str(tmp_path / "sums"))[0].select(*expected.columns)) == rows(expected)
+
+
+def test_days_are_stored_without_a_sample_of_their_sums(spark, stored_days, tmp_path):
+    t, _ = stored_days
+    groups, tracker = "store-days", spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup(groups, "")
+    try:
+        store_days(t, str(tmp_path / "sums"))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # a pass: its sums, their exchange, and the files; ranges took a job more to sample the sums
+    assert len(tracker.getJobIdsForGroup(groups)) == 6
